@@ -103,10 +103,13 @@ def loose_key(col: Column) -> Column:
 
 def normalize_identifier(col: Column) -> Column:
     """Trimmed identifier without a spreadsheet '.0'; words for a missing value become null."""
-    text = strip(col)
-    blank = (text == "") | F.lower(text).isin(*BLANK_IDENTIFIER)
-    whole = F.regexp_replace(text, r"\A(-?\p{Nd}+)\.0\z", "$1")
-    return F.when(~blank, F.when(text.endswith(".0"), whole).otherwise(text))
+
+    def identifier(text: Column) -> Column:
+        whole = F.regexp_replace(text, r"\A(-?\p{Nd}+)\.0\z", "$1")
+        present = (text != "") & ~F.lower(text).isin(*BLANK_IDENTIFIER)
+        return F.when(present, F.when(text.endswith(".0"), whole).otherwise(text))
+
+    return let(strip(col), identifier)
 
 
 def normalize_bool(col: Column) -> Column:
