@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from concord.functions.text import strip
+from concord.functions.text import let, strip
 
 _DIGITS = r"[0-9](?:_?[0-9])*"
 _FLOAT = rf"\A[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\z"
 _PLAIN_FLOAT = r"\A[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 _PLAIN_INT = r"\A[+-]?[0-9]+\z"
+_EXACT = 2**53
 
 
 def _no_thousands(col: Column) -> Column:
@@ -19,11 +20,20 @@ def _no_thousands(col: Column) -> Column:
 
 
 def to_int(col: Column) -> Column:
-    """Whole part of a count-like text; text that is no number gives 0."""
-    text = strip(_no_thousands(col.cast("string")))
-    whole = F.when(text.rlike(_PLAIN_INT), text.try_cast("bigint"))
-    real = F.when(text.rlike(_PLAIN_FLOAT), text.try_cast("double"))
-    return F.coalesce(whole, real.try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Whole part of a count-like text; text that is no number gives 0.
+
+    Plain digits are cast at once; only other text goes through the longer way.
+    """
+
+    def parsed(text: Column) -> Column:
+        whole = F.when(text.rlike(_PLAIN_INT), text.try_cast("bigint"))
+        real = F.when(text.rlike(_PLAIN_FLOAT), text.try_cast("double"))
+        return F.coalesce(whole, real.try_cast("bigint"))
+
+    text = col.cast("string")
+    return F.coalesce(
+        text.try_cast("bigint"), let(strip(_no_thousands(text)), parsed), F.lit(0).cast("bigint")
+    )
 
 
 def to_rate(col: Column) -> Column:
@@ -38,11 +48,18 @@ def normalize_id_key(col: Column) -> Column:
     A finite whole number in any notation becomes its digits ('007' and '7.0' are '7',
     '1e5' is '100000'); other text is only trimmed; null gives the empty key.
     """
-    text = _no_thousands(strip(col.cast("string")))
-    number = F.when(text.rlike(_FLOAT), F.translate(text, "_", "").try_cast("double"))
-    whole = number == F.floor(number).cast("double")
-    digits = F.coalesce(
-        number.try_cast("bigint").cast("string"),
-        number.try_cast("decimal(38,0)").cast("string"),
-    )
-    return F.coalesce(F.when(whole, digits), text, F.lit(""))
+    def key(text: Column) -> Column:
+        number = F.when(text.rlike(_FLOAT), F.translate(text, "_", "").try_cast("double"))
+        return let(number, lambda value: F.coalesce(digits(value), text))
+
+    def digits(value: Column) -> Column:
+        whole = F.coalesce(
+            value.try_cast("bigint").cast("string"), value.try_cast("decimal(38,0)").cast("string")
+        )
+        return F.when(value == F.floor(value).cast("double"), whole)
+
+    text = col.cast("string")
+    plain = text.try_cast("bigint")
+    exact = plain.between(-_EXACT, _EXACT)  # whole numbers a double holds exactly
+    general = let(_no_thousands(strip(text)), key)
+    return F.when(exact, plain.cast("string")).otherwise(F.coalesce(general, F.lit("")))

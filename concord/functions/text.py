@@ -7,36 +7,52 @@ is sent to a Python worker; plain ASCII text skips the call altogether.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters Python's str.split() and str.isspace() treat as white space.
-SPACE_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+ASCII_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
+UNICODE_SPACE = (
+    "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 # Words that stand for a missing value.
 BLANK_TEXT = ("nan", "none", "null")
 BLANK_IDENTIFIER = ("nan", "none", "null", "nat")
 TRUE_WORDS = ("true", "1", "yes", "y")
 
-_NON_ASCII = r"[^\x00-\x7f]"
+# White space that collapsing changes: any run of two or more, and a single one but a blank.
+_SPACES = "[" + ASCII_SPACE + UNICODE_SPACE + "]"
+_UNEVEN_SPACE = _SPACES + "{2,}|[" + ASCII_SPACE.replace(" ", "") + UNICODE_SPACE + "]"
 _BEYOND_LATIN1 = r"[^\x00-\xff]"
 
 
+def is_ascii(col: Column) -> Column:
+    """True when every character takes one byte."""
+    return F.octet_length(col) == F.char_length(col)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate a costly value once and use it several times in the body."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def collapse(col: Column) -> Column:
+    """Every run of white space as one blank."""
+    return F.regexp_replace(col, _UNEVEN_SPACE, " ")
+
+
 def squeeze(col: Column) -> Column:
     """Trim and collapse every run of white space to one blank."""
-    return F.trim(F.regexp_replace(col, SPACE + "+", " "))
+    return F.trim(collapse(col))
 
 
 def strip(col: Column) -> Column:
     """Trim Unicode white space at both ends."""
-    return F.btrim(col, F.lit(SPACE_CHARS))
+    everything = F.btrim(col, F.lit(ASCII_SPACE + UNICODE_SPACE))
+    return F.when(is_ascii(col), F.btrim(col, F.lit(ASCII_SPACE))).otherwise(everything)
 
 
 def _compose(text: Column) -> Column:
@@ -48,13 +64,13 @@ def _fold(text: Column) -> Column:
 
 
 def nfkc(col: Column) -> Column:
-    """Unicode NFKC."""
-    return let(col, lambda text: F.when(text.rlike(_NON_ASCII), _compose(text)).otherwise(text))
+    """Unicode NFKC of a plain column."""
+    return F.when(is_ascii(col), col).otherwise(_compose(col))
 
 
 def casefold(col: Column) -> Column:
-    """Full Unicode case folding. The column is used three times, so pass a plain one."""
-    return F.when(col.rlike(_NON_ASCII), _fold(col)).otherwise(F.lower(col))
+    """Full Unicode case folding of a plain column."""
+    return F.when(is_ascii(col), F.lower(col)).otherwise(_fold(col))
 
 
 def _reread(text: Column) -> Column:
@@ -73,27 +89,41 @@ def repair_text(col: Column) -> Column:
     The re-read text is taken only when the bytes are valid UTF-8 and the outcome holds
     neither the tell-tale letter nor a replacement character. ASCII text needs neither step.
     """
-    return let(
-        squeeze(col),
-        lambda text: F.when(text.rlike(_NON_ASCII), let(_reread(text), _compose)).otherwise(text),
-    )
+    return let(squeeze(col), _repaired)
+
+
+def _repaired(text: Column) -> Column:
+    return F.when(is_ascii(text), text).otherwise(let(_reread(text), _compose))
 
 
 def canonical_key(col: Column) -> Column:
     """Join key of a name. A missing name gives the empty key, which joins nothing."""
-    return F.coalesce(squeeze(F.lower(repair_text(col))), F.lit(""))
+
+    def key(text: Column) -> Column:
+        other = squeeze(F.lower(let(_reread(text), _compose)))
+        return F.when(is_ascii(text), F.lower(text)).otherwise(other)
+
+    return F.coalesce(let(squeeze(col), key), F.lit(""))
+
+
+def text_or_blank(text: Column) -> Column:
+    """Stripped text; null and a word for a missing value become the empty string."""
+    return F.when(F.lower(text).isin(*BLANK_TEXT), "").otherwise(F.coalesce(text, F.lit("")))
 
 
 def normalize_text(col: Column) -> Column:
     """Trimmed text; a missing value or a word for one becomes the empty string."""
-    text = strip(col)
-    return F.when(F.lower(text).isin(*BLANK_TEXT), F.lit("")).otherwise(F.coalesce(text, F.lit("")))
+    return text_or_blank(strip(col))
+
+
+def key_of_text(text: Column) -> Column:
+    """Case-folded form of an already normalised plain column, blanks collapsed."""
+    return collapse(casefold(text))
 
 
 def comparison_key(col: Column) -> Column:
     """Case-folded text with every run of white space as one blank."""
-    folded = let(normalize_text(col), casefold)
-    return F.regexp_replace(folded, SPACE + "+", " ")
+    return let(normalize_text(col), key_of_text)
 
 
 def loose_key(col: Column) -> Column:
@@ -101,15 +131,29 @@ def loose_key(col: Column) -> Column:
     return squeeze(F.regexp_replace(comparison_key(col), r"[\p{P}\p{S}]+", " "))
 
 
+def identifier_of(text: Column) -> Column:
+    """Identifier of already stripped text."""
+    whole = F.regexp_replace(text, r"\A(-?\p{Nd}+)\.0\z", "$1")
+    present = ~F.lower(text).isin("", *BLANK_IDENTIFIER)
+    return F.when(present, F.when(text.endswith(".0"), whole).otherwise(text))
+
+
 def normalize_identifier(col: Column) -> Column:
     """Trimmed identifier without a spreadsheet '.0'; words for a missing value become null."""
+    return identifier_of(strip(col))
+
+
+def with_identifiers(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add normalised identifiers {new name: source column}, each cell stripped once."""
+    stripped = df.withColumns({new: strip(F.col(source)) for new, source in columns.items()})
+    return stripped.withColumns({new: identifier_of(F.col(new)) for new in columns})
 
-    def identifier(text: Column) -> Column:
-        whole = F.regexp_replace(text, r"\A(-?\p{Nd}+)\.0\z", "$1")
-        present = (text != "") & ~F.lower(text).isin(*BLANK_IDENTIFIER)
-        return F.when(present, F.when(text.endswith(".0"), whole).otherwise(text))
 
-    return let(strip(col), identifier)
+def with_texts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Replace the columns by their normalised text, each cell stripped once."""
+    columns = list(columns)
+    stripped = df.withColumns({c: strip(F.col(c).cast("string")) for c in columns})
+    return stripped.withColumns({c: text_or_blank(F.col(c)) for c in columns})
 
 
 def normalize_bool(col: Column) -> Column:

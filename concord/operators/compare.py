@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concord.functions.text import casefold, normalize_identifier
+from concord.functions.text import casefold, with_identifiers
 
 # The outcomes of comparing one field, in report order.
 FIELD_STATUSES = ("match", "mismatch", "original_blank", "enrichment_blank", "both_blank")
@@ -35,11 +35,7 @@ def compare_fields(
     must agree after case folding. The normalised values are columns of their own for a
     moment, so that each is worked out once.
     """
-    sides = {
-        f"_{side}_{f}": normalize_identifier(F.col(f"{side}_{f}"))
-        for f in fields
-        for side in ("original", "enrichment")
-    }
+    sides = {f"_{side}_{f}": f"{side}_{f}" for f in fields for side in ("original", "enrichment")}
     statuses = {}
     for f in fields:
         left, right = F.col(f"_original_{f}"), F.col(f"_enrichment_{f}")
@@ -48,7 +44,7 @@ def compare_fields(
         else:
             same = (left == right) | (casefold(left) == casefold(right))
         statuses[f"{f}_match"] = field_status(left, right, same)
-    return rows.withColumns(sides).withColumns(statuses).drop(*sides)
+    return with_identifiers(rows, sides).withColumns(statuses).drop(*sides)
 
 
 def agreement(statuses: list[Column]) -> Column:

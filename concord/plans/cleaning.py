@@ -12,7 +12,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concord.functions.text import comparison_key, normalize_text
+from concord.functions.text import key_of_text, normalize_text, with_texts
 from concord.operators.joins import attach
 from concord.operators.keyed import keep_first, source_ordinal
 from concord.session import checkpointed
@@ -43,13 +43,12 @@ def prepare_catalog(catalog: DataFrame, order_by: str, row_number: str | None =
     ``row_number`` names a column that already numbers the rows 1, 2, 3, ...; without it the
     rows are numbered in the order of ``order_by``.
     """
-    texts = {c: normalize_text(F.col(c).cast("string")) for c in CATALOG_COLUMNS}
     filled = fill_optional(catalog, CATALOG_COLUMNS)
     if row_number:
         numbered = filled.withColumn("source_row", F.col(row_number).cast("bigint"))
     else:
         numbered = source_ordinal(filled, order_by)
-    return numbered.withColumns(texts)
+    return with_texts(numbered, CATALOG_COLUMNS)
 
 
 def _events(rows: DataFrame, stage: Column, action: Column, details: Column) -> DataFrame:
@@ -80,7 +79,7 @@ def _transplant(rows: DataFrame) -> DataFrame:
 
 def _with_business_key(rows: DataFrame) -> tuple[DataFrame, list[str]]:
     """The three key parts stay separate columns."""
-    keys = {f"_k{i}": comparison_key(F.col(c)) for i, c in enumerate(KEY_COLUMNS)}
+    keys = {f"_k{i}": key_of_text(F.col(c)) for i, c in enumerate(KEY_COLUMNS)}
     return rows.withColumns(keys), list(keys)
 
 
@@ -91,7 +90,7 @@ def _map_names(rows: DataFrame, mappings: DataFrame | None) -> DataFrame:
     reviewed = mappings.select(
         F.col("name_key").alias("_name_key"), F.col("mapped").alias("_mapped")
     ).where((F.col("_mapped") != "") & F.col("_name_key").isNotNull())
-    keyed = rows.withColumn("_name_key", comparison_key(F.col("manufacturer_name")))
+    keyed = rows.withColumn("_name_key", key_of_text(F.col("manufacturer_name")))
     joined = attach(keyed, reviewed, "_name_key").drop("_name_key")
     changed = F.col("_mapped") != F.col("manufacturer_name")
     return joined.withColumn("_mapped", F.when(changed, F.col("_mapped")))
@@ -119,7 +118,7 @@ def clean_catalog(
     prepared = prepare_catalog(catalog, order_by, row_number)
     if materialize:
         prepared = checkpointed(prepared)
-    marked = prepared.withColumn("_no", comparison_key(F.col("proper_identification")) == "no")
+    marked = prepared.withColumn("_no", key_of_text(F.col("proper_identification")) == "no")
     moved = _transplant(marked)
     staged, keys = _with_business_key(moved.where(~F.col("_no")))
 

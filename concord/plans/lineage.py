@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.functions.text import normalize_bool, normalize_identifier
+from concord.functions.text import normalize_bool, with_identifiers
 from concord.operators.compare import FIELD_STATUSES, agreement, compare_fields
 from concord.operators.joins import attach
 from concord.sources.headers import require_columns
@@ -30,7 +30,7 @@ PAIR = ["list_id", "material_reference"]
 
 
 def _with_keys(df: DataFrame) -> DataFrame:
-    return df.withColumns({k: normalize_identifier(F.col(k)) for k in PAIR if k in df.columns})
+    return with_identifiers(df, {k: k for k in PAIR if k in df.columns})
 
 
 def _with_pair(matching: DataFrame) -> DataFrame:
@@ -82,11 +82,13 @@ def build_lineage(
 ) -> DataFrame:
     """Every submitted line with its matching status, import flag and field comparison.
 
-    ``pairs`` may hold the collapsed candidates when they are already at hand.
+    ``pairs`` may hold the collapsed candidates when they are already at hand. The fields are
+    compared before the joins, which they do not depend on: together with the joins they
+    would make one generated method too large to be compiled.
     """
     require_columns(research.columns, RESEARCH_COLUMNS, "research rows")
     require_columns(imports.columns, IMPORT_COLUMNS, "imports")
-    lines = _with_keys(research).withColumn(
+    lines = _with_keys(compare_identifiers(research)).withColumn(
         "research_returned", normalize_bool(F.col("research_returned"))
     )
     pairs = collapse_candidates(matching) if pairs is None else pairs
@@ -100,7 +102,7 @@ def build_lineage(
     zero = F.lit(0).cast("bigint")
     joined = attach(lines, pairs, PAIR, sized_by=matching.select(*MATCHING_COLUMNS))
     joined = attach(joined, imported, IMPORT_COLUMNS[0], sized_by=imports.select(*IMPORT_COLUMNS))
-    rows = joined.withColumns(
+    return joined.withColumns(
         {
             **{c: F.coalesce(F.col(c), zero) for c in counts},
             "in_matching": F.col("match_status").isNotNull(),
@@ -108,7 +110,6 @@ def build_lineage(
             "imported": F.coalesce("imported", F.lit(False)),
         }
     )
-    return compare_identifiers(rows)
 
 
 def pair_differences(lineage: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -8,14 +8,17 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-#: Settings the jobs are written for. ANSI mode and AQE are on by default in Spark 4;
-#: they are repeated here because results and skew handling rely on them.
+#: Settings the jobs are written for. ANSI mode and AQE are on by default in Spark 4; they
+#: are repeated here because results and skew handling rely on them. The method limit is the
+#: size above which the JVM leaves a generated method uncompiled: stages with much text work
+#: then run as several compiled projections in place of one interpreted method.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
