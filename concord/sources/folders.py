@@ -45,7 +45,10 @@ FORMATS = ("csv", "json", "parquet")
 
 
 def list_files(spark: SparkSession, folder: str, extension: str) -> list[str]:
-    """Sorted paths of the folder's files with the extension; an absent folder has none."""
+    """Sorted paths of the folder's files with the extension.
+
+    An absent folder has none; Spark skips files without any byte.
+    """
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{extension}").load(folder)
     except AnalysisException as error:
@@ -89,8 +92,6 @@ def profile_csv(spark: SparkSession, paths: Sequence[str]) -> list[dict]:
                 "multi_line": row["multi_line"],
             }
         )
-    if len(profiles) < len(paths):
-        raise ValueError("a CSV file without a header line")
     return sorted(profiles, key=lambda p: p["path"])
 
 
@@ -132,7 +133,8 @@ def read_csv_files(
         )
         extra = []
         if file_column:
-            extra.append(F.col("_metadata.file_name").alias(file_column))
+            escaped = F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))
+            extra.append(F.url_decode(escaped).alias(file_column))
         if position:
             extra.append(
                 F.struct(
