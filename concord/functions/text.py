@@ -138,6 +138,15 @@ def identifier_of(text: Column) -> Column:
     return F.when(present, F.when(text.endswith(".0"), whole).otherwise(text))
 
 
+def has_identifier(col: Column) -> Column:
+    """True when normalize_identifier gives a value.
+
+    Filter on this before normalising: a filter on the normalised column would be pushed
+    down with the whole expression in it and work everything out twice.
+    """
+    return F.coalesce(~F.lower(strip(col)).isin("", *BLANK_IDENTIFIER), F.lit(False))
+
+
 def normalize_identifier(col: Column) -> Column:
     """Trimmed identifier without a spreadsheet '.0'; words for a missing value become null."""
     return identifier_of(strip(col))

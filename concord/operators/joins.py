@@ -76,18 +76,20 @@ def attach(
     on: str | list[str],
     how: str = "left",
     sized_by: DataFrame | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """Join facts with a lookup that has one row per key.
 
     how        left, inner, left_semi or left_anti
     sized_by   a cheaper frame that is at least as large as the lookup, to be measured in
                its place when the lookup itself is costly to compute
+    even       the key is unique among the facts, so no heavy keys are looked for
     """
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(lookup if sized_by is None else sized_by, len(lookup.columns)):
         return facts.join(F.broadcast(lookup), on, how)
 
-    heavy = heavy_keys(facts, on)
+    heavy = None if even else heavy_keys(facts, on)
     if heavy is None:
         return facts.join(lookup, on, how)
 

@@ -13,6 +13,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from concord.operators.joins import attach
+
 ROWS_PER_BUCKET = 2_000_000
 
 
@@ -61,8 +63,9 @@ def keep_none(df: DataFrame, keys: str | list[str]) -> DataFrame:
 def repeated_rows(df: DataFrame, keys: list[Column], row_id: str) -> DataFrame:
     """Every row whose key occurs more than once; missing key parts count as equal.
 
-    The single rows are found by one aggregate that carries only the id; the rest is an
-    anti-join on the unique id.
+    The single rows are found by one aggregate that carries only the id; the other ids are
+    an anti-join of id columns. Whole rows move only if there are too many repeated ids to
+    broadcast.
     """
     named = [k.alias(f"_k{i}") for i, k in enumerate(keys)]
     single = (
@@ -72,7 +75,8 @@ def repeated_rows(df: DataFrame, keys: list[Column], row_id: str) -> DataFrame:
         .where("_n = 1")
         .select(row_id)
     )
-    return df.join(single, row_id, "left_anti")
+    repeated = df.select(row_id).join(single, row_id, "left_anti")
+    return attach(df, repeated, row_id, "left_semi", even=True)
 
 
 def source_ordinal(

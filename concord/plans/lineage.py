@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concord.functions.text import normalize_bool, with_identifiers
+from concord.functions.text import has_identifier, normalize_bool, with_identifiers
 from concord.operators.compare import FIELD_STATUSES, agreement, compare_fields
 from concord.operators.joins import attach
+from concord.session import checkpointed
 from concord.sources.headers import require_columns
 
 # The compared fields, the column contracts and the label of a missing stage.
@@ -35,7 +36,8 @@ def _with_keys(df: DataFrame) -> DataFrame:
 
 def _with_pair(matching: DataFrame) -> DataFrame:
     require_columns(matching.columns, MATCHING_COLUMNS, "matching candidates")
-    return _with_keys(matching).dropna(subset=PAIR)
+    complete = has_identifier(F.col("list_id")) & has_identifier(F.col("material_reference"))
+    return _with_keys(matching.where(complete))
 
 
 def collapse_candidates(matching: DataFrame) -> DataFrame:
@@ -92,12 +94,8 @@ def build_lineage(
         "research_returned", normalize_bool(F.col("research_returned"))
     )
     pairs = collapse_candidates(matching) if pairs is None else pairs
-    imported = (
-        _with_keys(imports.select(*IMPORT_COLUMNS))
-        .dropna()
-        .distinct()
-        .withColumn("imported", F.lit(True))
-    )
+    named = imports.select(*IMPORT_COLUMNS).where(has_identifier(F.col("material_reference")))
+    imported = _with_keys(named).distinct().withColumn("imported", F.lit(True))
     counts = ("n_candidates", "n_positive", "n_negative")
     zero = F.lit(0).cast("bigint")
     joined = attach(lines, pairs, PAIR, sized_by=matching.select(*MATCHING_COLUMNS))
@@ -164,9 +162,9 @@ def identifier_summary(lineage: DataFrame) -> DataFrame:
 def lineage_tables(
     research: DataFrame, matching: DataFrame, imports: DataFrame
 ) -> dict[str, DataFrame]:
-    """The three result tables by name; the candidates are collapsed once for all."""
-    pairs = collapse_candidates(matching)
-    rows = build_lineage(research, matching, imports, pairs)
+    """The three result tables by name; pairs and lines are worked out once and written."""
+    pairs = checkpointed(collapse_candidates(matching))
+    rows = checkpointed(build_lineage(research, matching, imports, pairs))
     return {
         "throughput": rows,
         "identifier_summary": identifier_summary(rows),

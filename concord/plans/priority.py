@@ -208,7 +208,7 @@ def _with_entity(facts: DataFrame, entities: DataFrame) -> DataFrame:
     known = entities.where(F.col("client").isNotNull()).select(
         F.col("be_id").alias("splist_id"), "client", "client_key", "be_name", "be_key"
     )
-    return attach_many(facts.where("splist_id <> ''"), known.where("splist_id <> ''"), "splist_id")
+    return attach_many(facts, known.where("splist_id <> ''"), "splist_id")
 
 
 def unmatched_rows(
@@ -470,11 +470,12 @@ def report_wide(kpis: DataFrame, long: DataFrame) -> DataFrame:
         "client_key",
         "be_key",
     )
-    pairs = sorted(tuple(r) for r in long.select("client_key", "be_key").distinct().collect())
+    most = int(long.sparkSession.conf.get("spark.sql.pivotMaxValues")) // len(LABELS)
+    found = long.select("client_key", "be_key").distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} client entities: use the long form or raise spark.sql.pivotMaxValues")
+    pairs = sorted(tuple(r) for r in found)
     names = [column_name(v, *pair) for v in LABELS.values() for pair in pairs]
-    most = int(long.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    if len(names) > most:
-        raise ValueError(f"{len(names)} report columns exceed spark.sql.pivotMaxValues ({most})")
     counts = (
         long.withColumn("column", label)
         .groupBy(*SUPPLIER)
