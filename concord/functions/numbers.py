@@ -11,7 +11,9 @@ _DIGITS = r"[0-9](?:_?[0-9])*"
 _FLOAT = rf"\A[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\z"
 _PLAIN_FLOAT = r"\A[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 _PLAIN_INT = r"\A[+-]?[0-9]+\z"
-_EXACT = 2**53
+# Short enough that the cast cannot fail and a double holds the number exactly. A cast is only
+# tried on text that fits: a failing one costs far more than the check.
+_SHORT_INT = r"\A-?[0-9]{1,15}\z"
 
 
 def _no_thousands(col: Column) -> Column:
@@ -22,7 +24,7 @@ def _no_thousands(col: Column) -> Column:
 def to_int(col: Column) -> Column:
     """Whole part of a count-like text; text that is no number gives 0.
 
-    Plain digits are cast at once; only other text goes through the longer way.
+    Short plain digits are cast at once; only other text goes through the longer way.
     """
 
     def parsed(text: Column) -> Column:
@@ -31,9 +33,9 @@ def to_int(col: Column) -> Column:
         return F.coalesce(whole, real.try_cast("bigint"))
 
     text = col.cast("string")
-    return F.coalesce(
-        text.try_cast("bigint"), let(strip(_no_thousands(text)), parsed), F.lit(0).cast("bigint")
-    )
+    general = let(strip(_no_thousands(text)), parsed)
+    plain = F.when(text.rlike(_SHORT_INT), text.cast("bigint")).otherwise(general)
+    return F.coalesce(plain, F.lit(0).cast("bigint"))
 
 
 def to_rate(col: Column) -> Column:
@@ -59,7 +61,6 @@ def normalize_id_key(col: Column) -> Column:
         return F.when(value == F.floor(value).cast("double"), whole)
 
     text = col.cast("string")
-    plain = text.try_cast("bigint")
-    exact = plain.between(-_EXACT, _EXACT)  # whole numbers a double holds exactly
     general = let(_no_thousands(strip(text)), key)
-    return F.when(exact, plain.cast("string")).otherwise(F.coalesce(general, F.lit("")))
+    digits_only = text.cast("bigint").cast("string")
+    return F.when(text.rlike(_SHORT_INT), digits_only).otherwise(F.coalesce(general, F.lit("")))
