@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from concord.llm import decontaminate, exact
+from concord.llm import decontaminate, exact, mixing
 
 QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_exact_dedup": exact.op9_exact_dedup,
 }
