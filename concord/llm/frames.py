@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+import tempfile
+import zipfile
+from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,3 +39,31 @@ def picked(docs: DataFrame, **columns: str) -> DataFrame:
 
 def fields(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
     return [T.StructField(n, df.schema[n].dataType, True) for n in names]
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session, which need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="ship-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def shipped(query: Callable) -> Callable:
+    """A query or stage that ships the package first."""
+
+    @functools.wraps(query)
+    def run(spark, *rest):
+        ship(spark)
+        return query(spark, *rest)
+
+    return run
