@@ -155,8 +155,9 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         "doc_id", "digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")
     )
     # Repeats of one row are counted before anything is gathered by text.
-    rows = looked.where("maybe").groupBy("digest", "doc_id").agg(F.count("*").alias("repeats"))
-    groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.sum("repeats").alias("group_size"))
+    rows = written(looked.where("maybe").groupBy("digest", "doc_id").agg(F.count("*").alias("repeats")))
+    # Written as well, so that both sides of the join are plain shuffles and a hot digest can be split.
+    groups = written(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.sum("repeats").alias("group_size")))
     shared = (
         rows.join(groups, "digest")
         .withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "repeats")))
