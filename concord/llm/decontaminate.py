@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from concord.llm import words as W
 from concord.llm.bloom import Bloom
-from concord.llm.frames import fields, picked, table, written
+from concord.llm.frames import fields, picked, small_or_shuffled, table, written
 
 GRAM = 5
 WINDOW = 6
@@ -237,6 +237,16 @@ def contamination(
     )
 
 
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The documents without a hit word, all columns kept. Rows that share an id go if one of them is hit;
+    a null id stays."""
+    found = contamination(docs, benchmark, id_column=id_column, text_column=text_column)
+    gone = written(found.where("contaminated").select(F.col("doc_id").alias("gone_id")).distinct())
+    return docs.join(small_or_shuffled(gone), docs[id_column] == gone["gone_id"], "left_anti")
+
+
 def op8_decontaminate(spark, folder: str) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of documents."""
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -305,7 +305,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         found.groupBy(F.col("doc_id").alias("gone_id")).agg(F.bool_and(F.col("doc_id") != F.col("class_id")).alias("gone"))
         .where("gone").select("gone_id")
     )
-    return docs.join(small_or_shuffled(gone), docs[id_column] == F.col("gone_id"), "left_anti")
+    return docs.join(small_or_shuffled(gone), docs[id_column] == gone["gone_id"], "left_anti")
 
 
 def op4_ngram_jaccard(spark, folder: str) -> DataFrame:
