@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from concord.llm import decontaminate, exact, mixing, near, toxicity
+from concord.llm import decontaminate, exact, mixing, near, secrets, toxicity
 from concord.llm.frames import shipped
 
 _QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_secrets": secrets.op3_secrets,
     "op4_ngram_jaccard": near.op4_ngram_jaccard,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_exact_dedup": exact.op9_exact_dedup,
@@ -16,6 +17,7 @@ _QUERIES = {
 QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}
 
 ORACLES = {
+    "op3_secrets": secrets.OP3_SQL,
     "op4_ngram_jaccard": near.OP4_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op9_exact_dedup": exact.OP9_SQL,
