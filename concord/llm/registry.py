@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concord.llm import decontaminate, exact, mixing, near, secrets, toxicity
+from concord.llm import chat, decontaminate, exact, mixing, near, secrets, toxicity
 from concord.llm.frames import shipped
 
 _QUERIES = {
@@ -10,6 +10,7 @@ _QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_secrets": secrets.op3_secrets,
     "op4_ngram_jaccard": near.op4_ngram_jaccard,
+    "op5_chat": chat.op5_chat,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_exact_dedup": exact.op9_exact_dedup,
 }
@@ -19,6 +20,7 @@ QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}
 ORACLES = {
     "op3_secrets": secrets.OP3_SQL,
     "op4_ngram_jaccard": near.OP4_SQL,
+    "op5_chat": chat.OP5_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op9_exact_dedup": exact.OP9_SQL,
 }
