@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concord.llm import chat, decontaminate, exact, mixing, near, secrets, toxicity
+from concord.llm import chat, decontaminate, exact, licences, mixing, near, secrets, toxicity
 from concord.llm.frames import shipped
 
 _QUERIES = {
@@ -13,6 +13,7 @@ _QUERIES = {
     "op5_chat": chat.op5_chat,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_exact_dedup": exact.op9_exact_dedup,
+    "op10_licences": licences.op10_licences,
 }
 
 QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}
