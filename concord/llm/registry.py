@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concord.llm import chat, decontaminate, exact, licences, mixing, near, secrets, tokens, toxicity
+from concord.llm import chat, decontaminate, exact, licences, mixing, near, passages, secrets, tokens, toxicity
 from concord.llm.frames import shipped
 
 _QUERIES = {
@@ -12,6 +12,7 @@ _QUERIES = {
     "op4_ngram_jaccard": near.op4_ngram_jaccard,
     "op5_chat": chat.op5_chat,
     "op6_token_counts": tokens.op6_token_counts,
+    "op7_substring_dedup": passages.op7_substring_dedup,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_exact_dedup": exact.op9_exact_dedup,
     "op10_licences": licences.op10_licences,
