@@ -3,8 +3,9 @@
 Sources in code-point order (null last) get the weights in turn and share the words of all
 documents by weight; what a source cannot take at `MOST` times its size is shared again by weight.
 A source takes as many whole passes over its documents as its target allows. The rest of its budget
-is fitted on the counts of documents by exact length: first the same share of every length, then
-greedily from the longest, and the last words by a bounded knapsack over the lengths that are left.
+is fitted on the counts of documents by exact length: but for the last words the same share of every
+length, then greedily from the longest, and the last words by a bounded knapsack over the lengths
+that are left (a budget of no more than LAST_WORDS is thus met as nearly as can be).
 Which documents of a length are taken follows a seeded hash of the id, so that reruns agree.
 
 A document's size is its number of runs of characters other than space, \\t, \\n, \\v, \\f and \\r; a null
@@ -65,9 +66,11 @@ def best_fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     if total <= budget:
         taken[:] = counts
     elif budget > 0:
-        taken = counts * budget // total
+        taken = counts * max(0, budget - LAST_WORDS) // total
         left = budget - int((taken * sizes).sum())
         for i, size in enumerate(sizes):
+            if left <= LAST_WORDS + sizes[0]:
+                break  # the shorter ones are kept, to make up any sum
             n = min(counts[i] - taken[i], max(0, left - LAST_WORDS) // size)
             taken[i] += n
             left -= n * size
@@ -87,7 +90,7 @@ def knapsack(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     free = [i for i in range(len(sizes) - 1, -1, -1) if counts[i] > 0]
     if budget <= 0 or not free:
         return taken
-    high = budget + int(sizes[free[0]])
+    high = 2 * budget  # a sum further away than nothing at all is never the nearest
     mask = (1 << (high + 1)) - 1
     reached, steps = 1, []
     for i in free:
