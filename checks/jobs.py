@@ -15,7 +15,7 @@ from concord.functions.numbers import normalize_id_key, to_int
 from concord.functions.text import canonical_key, loose_key, normalize_identifier, repair_text
 from concord.operators.keyed import source_ordinal
 from concord.plans import cleaning, coverage, lineage, priority, quality, trips
-from concord.session import shared_folder
+from concord.session import checkpointed, shared_folder
 from concord.sources import folders, headers, sinks
 
 
@@ -56,7 +56,7 @@ def source_preview(spark, sf):
 
 
 def source_sample(spark, sf):
-    return folders.sample_rows(view(spark, sf, "v_trips"))
+    return rounded(folders.sample_rows(view(spark, sf, "v_trips"), "trip_id"))
 
 
 def mart_roundtrip(spark, sf):
@@ -74,7 +74,7 @@ def _inputs(spark, sf):
 
 
 def _dim(spark, sf):
-    return priority.supplier_dim(view(spark, sf, "v_supplier_ref"), view(spark, sf, "v_rules"))
+    return checkpointed(priority.supplier_dim(view(spark, sf, "v_supplier_ref"), view(spark, sf, "v_rules")))
 
 
 def _aliases(spark, sf):
@@ -82,7 +82,7 @@ def _aliases(spark, sf):
 
 
 def _entities(spark, sf):
-    return priority.entity_map(view(spark, sf, "v_entities"))
+    return checkpointed(priority.entity_map(view(spark, sf, "v_entities")))
 
 
 def supplier_dim(spark, sf):
@@ -90,7 +90,7 @@ def supplier_dim(spark, sf):
 
 
 def supplier_dim_excluded(spark, sf):
-    return _dim(spark, sf)
+    return priority.supplier_dim(view(spark, sf, "v_supplier_ref"), view(spark, sf, "v_rules"))
 
 
 def exclusion_counts(spark, sf):
@@ -102,7 +102,7 @@ def alias_table(spark, sf):
 
 
 def entity_map(spark, sf):
-    return _entities(spark, sf)
+    return priority.entity_map(view(spark, sf, "v_entities"))
 
 
 def unmatched_by_entity(spark, sf):
@@ -157,6 +157,35 @@ def report_pivot(spark, sf):
     return rounded(priority.report_wide(tables["kpis"], tables["long"]))
 
 
+# Raw headers that exports of the report's inputs have.
+RAW_HEADERS = {
+    "supplier_ref": {"abbr": "Abbreviation", "manufacturer": "Name", "legal_name": "LegalName"},
+    "unmatched": {"splist_id": "SparePartListId", "manu_name": "ManufacturerName", "cnt": "Count"},
+    "matched": {"splist_id": "SparePartListId", "abbr": "SPT ID  Abbreviation", "cnt": "Rows"},
+    "datasets": {"company_source": "Company Source", "import_done": "ImportDone", "source_format": "SourceFormat", "source_origin": "SourceOrigin"},
+    "products": {"name": "Manufacturer: Name", "batch": "Batch", "cnt": "COUNT"},
+    "entities": {"be_id": "ID", "client": "Clients → Name", "be_name": "BusinessEntities → Name", "mm_total_rows": "TotalNumberOfRows"},
+    "rules": {"manufacturer": "Manufacturer", "exclude_flag": "Exclude due to bad name"},
+    "prev": {"abbr": "Abbreviation", "last_month_mr": "Matching Rate", "research": "Research"},
+    "match_ts": {"list_id": "id", "matched_at": "MatchedAt"},
+}
+
+
+def report_from_folders(spark, sf):
+    """The wide report from exports: the inputs written as CSV, JSON or Parquet with raw headers, in order."""
+    root, spec = shared_folder(spark), {}
+    for i, (kind, names) in enumerate(RAW_HEADERS.items()):
+        frame = view(spark, sf, f"v_{kind}")
+        ordered = frame.orderBy("ord") if "ord" in frame.columns else frame
+        cells = [F.col(role).cast("string").alias(raw) for role, raw in names.items()]
+        form = folders.FORMATS[i % len(folders.FORMATS)]
+        options = {"header": True, "quote": '"', "escape": '"'} if form == "csv" else {"ignoreNullFields": False}
+        ordered.select(*cells).write.format(form).options(**options).save(f"{root}/{kind}")
+        spec[kind] = {"dir": kind, "formats": ["csv", "json", "parquet"]}
+    tables = priority.report_from_folders(spark, root, spec)
+    return rounded(priority.report_wide(tables["kpis"], tables["long"]))
+
+
 def report_columns(spark, sf):
     matched_at = priority.matched_at_latest(view(spark, sf, "v_match_ts"))
     return priority.report_columns(_entities(spark, sf), matched_at, _long(spark, sf))
@@ -209,7 +238,7 @@ def catalog_keep_none(spark, sf):
 
 
 def duplicate_counts(spark, sf):
-    return quality.duplicate_counts(view(spark, sf, "v_catalog"), PART_KEY, PART_KEY, "row_id")
+    return quality.duplicate_counts(view(spark, sf, "v_catalog"), PART_KEY, PART_KEY)
 
 
 def near_duplicates(spark, sf):
@@ -295,9 +324,10 @@ def catalog_roles(spark, sf):
 
 
 def row_ordinal(spark, sf):
-    """Orders numbered by their key from the far end, in several buckets."""
-    backwards = view(spark, sf, "orders").select((-F.col("o_orderkey")).alias("back"), "o_orderkey")
-    return source_ordinal(backwards, "back", rows_per_bucket=4000).select("o_orderkey", "source_row")
+    """Orders numbered by a text key, the missing keys first, in several ranges."""
+    key = F.when(F.col("o_orderkey") != 1, F.concat_ws("-", "o_orderpriority", F.lpad(F.col("o_orderkey").cast("string"), 12, "0")))
+    named = view(spark, sf, "orders").select("o_orderkey", key.alias("place"))
+    return source_ordinal(named, "place", partitions=7)
 
 
 # Lineage --------------------------------------------------------------------------------
@@ -305,7 +335,7 @@ def row_ordinal(spark, sf):
 
 def _lineage(spark, sf):
     research, matching, imports = (view(spark, sf, f"v_{n}") for n in ("research", "matching", "imports"))
-    pairs = lineage.collapse_candidates(matching)
+    pairs = checkpointed(lineage.collapse_candidates(matching))
     return lineage.build_lineage(research, matching, imports, pairs), pairs
 
 
@@ -329,7 +359,8 @@ def identifier_status(spark, sf):
 
 
 def lineage_summary(spark, sf):
-    return lineage.coverage_summary(*_lineage(spark, sf))
+    research, matching, imports = (view(spark, sf, f"v_{n}") for n in ("research", "matching", "imports"))
+    return lineage.lineage_tables(research, matching, imports)["coverage_summary"]
 
 
 def identifier_crosstab(spark, sf):
@@ -381,6 +412,7 @@ def batch_union(spark, sf):
     )
 
 
+# Raw headers of the entities, as exports have them.
 RAW_ENTITIES = {
     "ord": "ord",
     "client": "Clients → Name",
@@ -423,6 +455,7 @@ JOBS = (
     supplier_kpis,
     report_long,
     report_pivot,
+    report_from_folders,
     report_columns,
     name_standardised,
     name_standardised_by_key,

@@ -1,6 +1,7 @@
 """Input tables for the jobs, projected from the provided tables.
 
-The text runs unchanged on Spark SQL and on DuckDB. Every view reads its tables whole.
+The text runs unchanged on Spark SQL and on DuckDB. Every view reads its tables whole; rows that a
+job should not find stay under values that match nothing.
 """
 
 from __future__ import annotations
@@ -49,19 +50,19 @@ VIEWS = {
           concat(CAST(n_nationkey + 1 AS STRING), ',000') AS mm_total_rows
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "v_matched": """
-        SELECT concat(CAST(c_nationkey AS STRING), '.0') AS splist_id,
+        SELECT concat(CAST(c_nationkey + CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1000 END AS STRING), '.0') AS splist_id,
           concat(' M', CAST(l_suppkey % 90 AS STRING)) AS abbr, CAST(count(*) AS STRING) AS cnt
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-        WHERE l_linestatus = 'F' GROUP BY c_nationkey, l_suppkey""",
+        GROUP BY c_nationkey, l_linestatus, l_suppkey""",
     "v_unmatched": """
-        SELECT CAST(c_nationkey AS STRING) AS splist_id,
+        SELECT CAST(c_nationkey + CASE WHEN l_linestatus = 'O' THEN 0 ELSE 2000 END AS STRING) AS splist_id,
           CASE WHEN l_suppkey % 10 = 9 THEN concat('Unknown ', s_name)
                WHEN l_suppkey % 3 = 0 THEN concat('  ', upper(s_name), ' ')
                WHEN l_suppkey % 3 = 1 THEN concat(s_name, '  gmbh') ELSE s_name END AS manu_name,
           CAST(count(*) AS STRING) AS cnt
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
           JOIN supplier ON l_suppkey = s_suppkey
-        WHERE l_linestatus = 'O' GROUP BY c_nationkey, l_suppkey, s_name""",
+        GROUP BY c_nationkey, l_linestatus, l_suppkey, s_name""",
     "v_products": """
         SELECT CASE WHEN l_suppkey % 10 = 9 THEN concat('Unknown ', s_name) ELSE upper(s_name) END AS name,
           l_returnflag AS batch, CAST(count(DISTINCT l_partkey) AS STRING) AS cnt
@@ -96,8 +97,9 @@ VIEWS = {
           p_brand AS manufacturer_name_canonical, p_size AS manufacturer_id
         FROM part""",
     "v_mapping": """
-        SELECT DISTINCT lower(p_brand) AS name_key, concat(p_brand, ' Corp') AS mapped
-        FROM part WHERE p_brand <> 'Brand#13'""",
+        SELECT DISTINCT lower(p_brand) AS name_key,
+          CASE WHEN p_brand = 'Brand#13' THEN '' ELSE concat(p_brand, ' Corp') END AS mapped
+        FROM part""",
     "v_master": """
         SELECT DISTINCT CASE WHEN p_size % 10 = 7 THEN p_size + 1000 ELSE p_size END AS manufacturer_id,
           concat('Maker ', CAST(p_size AS STRING)) AS canonical_manufacturer_name,
@@ -111,9 +113,9 @@ VIEWS = {
           CASE WHEN l_suppkey % 11 = 0 THEN '' ELSE CAST(l_suppkey AS STRING) END AS source_id
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
     "v_candidates": """
-        SELECT CAST(c_nationkey + 2 AS STRING) AS list_id, CAST(l_partkey AS STRING) AS item_id
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-        WHERE l_linestatus = 'F'""",
+        SELECT CAST(c_nationkey + CASE WHEN l_linestatus = 'F' THEN 2 ELSE 1000 END AS STRING) AS list_id,
+          CAST(l_partkey AS STRING) AS item_id
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
     "v_lookup": """
         SELECT s_suppkey AS ord,
           CASE WHEN s_suppkey % 4 = 3 THEN concat('retired ', CAST(s_suppkey AS STRING))
@@ -144,8 +146,10 @@ VIEWS = {
           l_returnflag AS candidate_grade, l_linestatus AS candidate_state
         FROM lineitem""",
     "v_imports": """
-        SELECT concat(CAST(p_partkey AS STRING), '.0') AS material_reference FROM part WHERE p_size > 25
-        UNION ALL SELECT CAST(p_partkey AS STRING) FROM part WHERE p_size > 35""",
+        SELECT CASE WHEN p_size > 25 THEN concat(CAST(p_partkey AS STRING), '.0')
+                    ELSE concat('spare ', CAST(p_partkey AS STRING)) END AS material_reference FROM part
+        UNION ALL SELECT CASE WHEN p_size > 35 THEN CAST(p_partkey AS STRING)
+                              ELSE concat('other ', CAST(p_partkey AS STRING)) END FROM part""",
     "v_id_text": """
         SELECT l_orderkey, l_linenumber,
           CASE l_linenumber

@@ -1,116 +1,33 @@
-"""Lookup joins whose broadcast side is measured and whose heavy keys never meet in one task.
+"""Lookup joins.
 
-``attach`` is the one place that broadcasts reference data, and it decides by size:
-
-* the lookup side is measured first (rows and text bytes, one aggregate); inside the limit
-  it is broadcast and the fact rows are not shuffled at all;
-* beyond the limit the rows per key are counted (a partial aggregate over the key columns).
-  A key above ``heavy_rows`` is heavy. At most ``MAX_HEAVY_KEYS`` keys are treated so; a key
-  that ranks lower holds less than 1/``MAX_HEAVY_KEYS`` of the rows. Rows of heavy keys are
-  joined with the few matching lookup rows by broadcast, rows without a key are passed by
-  the join, and all the others take an ordinary shuffle join. Nothing is dropped or capped.
-
-Both limits can be set in the session as ``spark.concord.broadcastBytes`` and
-``spark.concord.heavyRows``.
+``attach`` writes the lookup side to the shared folder once, unless it is a written table already.
+Spark then knows its size: a lookup within ``spark.sql.autoBroadcastJoinThreshold`` is broadcast
+and the facts are not shuffled; a larger one is joined by a shuffle of two plain tables, where
+adaptive execution splits the partitions of frequent keys (and of missing ones) however many
+there are. Apart from that write nothing runs while a plan is built.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-BROADCAST_BYTES = 32 * 1024 * 1024
-HEAVY_ROWS = 2_000_000
-MAX_HEAVY_KEYS = 1000
-
-
-def _setting(df: DataFrame, name: str, default: int) -> int:
-    return int(df.sparkSession.conf.get(f"spark.concord.{name}", str(default)))
-
-
-def measured_bytes(df: DataFrame, width: int | None = None) -> int:
-    """Size of the rows: 16 bytes a column and row, plus the bytes of all text."""
-    texts = []
-    for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            texts.append(F.octet_length(column))
-        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            texts.append(F.octet_length(F.to_json(F.struct(column))))
-    total = reduce(lambda a, b: a + b, [F.coalesce(t, F.lit(0)) for t in texts], F.lit(0))
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(total.cast("bigint")), F.lit(0)).alias("bytes")
-    ).first()
-    return row["rows"] * 16 * (width or len(df.columns)) + row["bytes"]
 
-
-def fits_broadcast(df: DataFrame, width: int | None = None) -> bool:
-    """True when the measured size is inside the broadcast limit."""
-    limit = _setting(df, "broadcastBytes", BROADCAST_BYTES)
-    return limit > 0 and measured_bytes(df, width) <= limit
-
-
-def heavy_keys(facts: DataFrame, on: list[str]) -> DataFrame | None:
-    """The keys above the heavy-row limit, largest first and at most MAX_HEAVY_KEYS of them."""
-    rows = (
-        facts.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= _setting(facts, "heavyRows", HEAVY_ROWS))
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HEAVY_KEYS)
-        .select(*on)
-        .collect()
-    )
-    if not rows:
-        return None
-    return facts.sparkSession.createDataFrame(rows, facts.select(*on).schema)
+from concord.session import checkpointed
 
 
 def attach(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: str | list[str],
-    how: str = "left",
-    sized_by: DataFrame | None = None,
-    even: bool = False,
+    facts: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "left", written: bool = False
 ) -> DataFrame:
     """Join facts with a lookup that has one row per key.
 
-    how        left, inner, left_semi or left_anti
-    sized_by   a cheaper frame that is at least as large as the lookup, to be measured in
-               its place when the lookup itself is costly to compute
-    even       the key is unique among the facts, so no heavy keys are looked for
+    how      left, inner, left_semi or left_anti
+    written  the lookup is read from a written table, so it is not written again
     """
     on = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(lookup if sized_by is None else sized_by, len(lookup.columns)):
-        return facts.join(F.broadcast(lookup), on, how)
-
-    heavy = None if even else heavy_keys(facts, on)
-    if heavy is None:
-        return facts.join(lookup, on, how)
+    return facts.join(lookup if written else checkpointed(lookup), on, how)
 
-    heavy = F.broadcast(heavy)
-    no_key = reduce(or_, [F.col(k).isNull() for k in on])
-    hot = facts.where(~no_key).join(heavy, on, "left_semi")
-    cold = facts.where(~no_key).join(heavy, on, "left_anti")
-    hot_lookup = lookup.join(heavy, on, "left_semi")  # one row per heavy key
 
-    joined = hot.join(F.broadcast(hot_lookup), on, how).unionByName(cold.join(lookup, on, how))
-    if how in ("left", "left_anti"):  # rows without a key match nothing and stay
-        joined = joined.unionByName(facts.where(no_key), allowMissingColumns=True)
-    return joined
-
-
-def attach_many(facts: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
-    """Inner join with a lookup that may repeat a key: every match is kept.
-
-    The small lookup is broadcast after measuring. A larger one is shuffled, where adaptive
-    execution splits oversized partitions on either side.
-    """
-    if fits_broadcast(lookup):
-        return facts.join(F.broadcast(lookup), on, "inner")
-    return facts.join(lookup.where(F.col(on).isNotNull()), on, "inner")
+def attach_many(facts: DataFrame, lookup: DataFrame, on: str, written: bool = False) -> DataFrame:
+    """Inner join with a lookup that may repeat a key: every match is kept, missing keys match nothing."""
+    known = lookup.where(F.col(on).isNotNull())
+    return facts.join(known if written else checkpointed(known), on, "inner")

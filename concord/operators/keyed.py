@@ -7,15 +7,13 @@ on the row id, which spreads evenly however the keys are distributed.
 
 from __future__ import annotations
 
-from math import ceil
+from itertools import accumulate
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.operators.joins import attach
-
-ROWS_PER_BUCKET = 2_000_000
+from concord.session import checkpointed
 
 
 def _names(value: str | list[str]) -> list[str]:
@@ -76,42 +74,37 @@ def repeated_rows(df: DataFrame, keys: list[Column], row_id: str) -> DataFrame:
         .select(row_id)
     )
     repeated = df.select(row_id).join(single, row_id, "left_anti")
-    return attach(df, repeated, row_id, "left_semi", even=True)
+    return attach(df, repeated, row_id, "left_semi")
 
 
 def source_ordinal(
-    df: DataFrame, order_by: str, name: str = "source_row", rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, order_by: str, name: str = "source_row", partitions: int | None = None
 ) -> DataFrame:
-    """Number the rows 1, 2, 3, ... in the order of a unique numeric column.
+    """Number the rows 1, 2, 3, ... in the order of a column of any sortable type, missing values first.
 
-    Quantile cut points, computed once, give buckets of about equal size that depend on the
-    order value alone. Rows are numbered inside their bucket and shifted by the row count of
-    the buckets before it; the table of shifts has one row per bucket.
+    The rows are sorted into ranges, and written with their range and place in it, which freezes
+    both; a number is the place plus the rows of the ranges before. Rows that tie are spread by a
+    hash of the row, so frequent values do not meet in one range. ``partitions`` (by default
+    spark.sql.shuffle.partitions) is the number of ranges, and of the counts that pass the driver.
     """
-    buckets = ceil(df.count() / rows_per_bucket)
-    if buckets <= 1:
-        everything = Window.partitionBy(F.lit(0)).orderBy(order_by)
-        return df.withColumn(name, F.row_number().over(everything).cast("bigint"))
-
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.approxQuantile(order_by, steps, 1 / (4 * buckets))))
-    splits = [float("-inf"), *cuts, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_o", outputCol="_bucket").transform(
-        df.withColumn("_o", F.col(order_by).cast("double"))
-    ).drop("_o")
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        bucketed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    )
-    inside = Window.partitionBy("_bucket").orderBy(order_by)
-    return (
-        bucketed.withColumn("_in", F.row_number().over(inside))
-        .join(F.broadcast(shifts), "_bucket")  # at most `buckets` rows
-        .withColumn(name, F.col("_in") + F.col("_shift"))
-        .drop("_bucket", "_in", "_shift")
+    spark = df.sparkSession
+    ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = F.col(f"`{order_by}`").asc_nulls_first()
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    order = [first, F.col("_tie")]
+    placed = checkpointed(
+        df.withColumn("_tie", F.xxhash64(*hashed))
+        .repartitionByRange(ranges, *order)
+        .sortWithinPartitions(*order)
+        .drop("_tie")
+        .withColumn("_at", F.monotonically_increasing_id())
     )
+    placed = placed.withColumns({"_range": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND((1 << 33) - 1)})
+    counts = sorted(placed.groupBy("_range").agg(F.count(F.lit(1))).collect())
+    shifts = list(zip((r for r, _ in counts), accumulate([n for _, n in counts], initial=1)))
+    shifts = spark.createDataFrame(shifts, "_range bigint, _shift bigint")
+    numbered = placed.join(F.broadcast(shifts), "_range")  # a row for each range
+    return numbered.withColumn(name, F.col("_at") + F.col("_shift")).drop("_range", "_at", "_shift")
 
 
 def share_of_total(df: DataFrame, value: str, name: str = "share") -> DataFrame:

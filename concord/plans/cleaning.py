@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from concord.functions.text import key_of_text, normalize_text, with_texts
 from concord.operators.joins import attach
-from concord.operators.keyed import keep_first, source_ordinal
+from concord.operators.keyed import source_ordinal
 from concord.session import checkpointed
 from concord.sources.headers import fill_optional
 
@@ -108,9 +108,9 @@ def clean_catalog(
     ``mappings`` has one row per comparison key: name_key, mapped. Mapping comes after the
     repeats are dropped, so it can make new ones. Sort the events by stage_no and row_number.
 
-    The rows kept by the duplicate rule come from an aggregate per key. The rows it drops
-    are those whose number is not the first of its key, an anti-join on the row number, so
-    no key, however frequent, is gathered in one task.
+    The first row number of each key comes from one aggregate, which is written. The rows kept
+    and the rows dropped are joins with it on the row number, so no key, however frequent, is
+    gathered in one task, and whole rows are never sorted by key.
 
     ``materialize`` writes the prepared rows to the shared folder first, which saves reading
     and numbering them again for each event kind.
@@ -122,9 +122,10 @@ def clean_catalog(
     moved = _transplant(marked)
     staged, keys = _with_business_key(moved.where(~F.col("_no")))
 
-    kept = _map_names(keep_first(staged, keys, "source_row").drop(*keys), mappings)
-    first = staged.groupBy(*keys).agg(F.min("source_row").alias("source_row"))
-    repeats = staged.join(first.select("source_row"), "source_row", "left_anti")
+    first = checkpointed(staged.groupBy(*keys).agg(F.min("source_row").alias("source_row")).select("source_row"))
+    kept = attach(staged, first, "source_row", "left_semi", written=True).drop(*keys)
+    kept = _map_names(kept, mappings)
+    repeats = attach(staged, first, "source_row", "left_anti", written=True)
 
     def pick(index: int) -> Column:
         return F.when(F.col("_no"), NOT_IDENTIFIED[index]).otherwise(TRANSPLANTED[index])

@@ -29,7 +29,7 @@ def annotate_sources(
     require_columns(lookup.columns, ("source_id", "source_name", order_by), "source lookup")
     raw = lookup.where(F.col("source_id").isNotNull()).select("source_id", "source_name", order_by)
     names = keep_first(raw, "source_id", order_by).select("source_id", "source_name")
-    named = attach(observed, names, "source_id", sized_by=raw)
+    named = attach(observed, names, "source_id")
     name = F.coalesce(F.nullif(F.col("source_name"), F.lit("")), F.lit(NO_SOURCE))
     return named.withColumn("source_name", name)
 

@@ -84,7 +84,7 @@ def build_lineage(
 ) -> DataFrame:
     """Every submitted line with its matching status, import flag and field comparison.
 
-    ``pairs`` may hold the collapsed candidates when they are already at hand. The fields are
+    ``pairs`` may be a written table of the collapsed candidates. The fields are
     compared before the joins, which they do not depend on: together with the joins they
     would make one generated method too large to be compiled.
     """
@@ -93,13 +93,12 @@ def build_lineage(
     lines = _with_keys(compare_identifiers(research)).withColumn(
         "research_returned", normalize_bool(F.col("research_returned"))
     )
-    pairs = collapse_candidates(matching) if pairs is None else pairs
     named = imports.select(*IMPORT_COLUMNS).where(has_identifier(F.col("material_reference")))
     imported = _with_keys(named).distinct().withColumn("imported", F.lit(True))
     counts = ("n_candidates", "n_positive", "n_negative")
     zero = F.lit(0).cast("bigint")
-    joined = attach(lines, pairs, PAIR, sized_by=matching.select(*MATCHING_COLUMNS))
-    joined = attach(joined, imported, IMPORT_COLUMNS[0], sized_by=imports.select(*IMPORT_COLUMNS))
+    joined = attach(lines, checkpointed(collapse_candidates(matching)) if pairs is None else pairs, PAIR, written=True)
+    joined = attach(joined, imported, IMPORT_COLUMNS[0])
     return joined.withColumns(
         {
             **{c: F.coalesce(F.col(c), zero) for c in counts},

@@ -10,9 +10,10 @@ is a column that gives the input order wherever the first or last row counts.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.functions.dates import format_date, parse_timestamp
@@ -21,7 +22,8 @@ from concord.functions.text import canonical_key, is_blank, is_flagged, repair_t
 from concord.operators.joins import attach, attach_many
 from concord.operators.keyed import first_present, keep_first
 from concord.session import checkpointed
-from concord.sources.headers import select_roles
+from concord.sources.folders import PANDAS_NULLS, load_inputs
+from concord.sources.headers import arrow_header, resolve_column, select_roles
 
 # The header hints of each input role.
 CONTRACTS = {
@@ -105,6 +107,8 @@ CONTRACTS = {
 # Roles that may be absent, and the tracking columns of the prior report.
 OPTIONAL_ROLES = {
     "datasets": ("import_done", "source_origin"),
+    "rules": ("exclude_flag",),
+    "match_ts": ("matched_at",),
     "prev": tuple(CONTRACTS["prev"])[2:],
 }
 TRACKING = OPTIONAL_ROLES["prev"]
@@ -137,16 +141,33 @@ SUPPLIER = ["abbr", "manufacturer"]
 
 
 def read_roles(df: DataFrame, kind: str) -> DataFrame:
-    """Rename the raw headers of one input to its roles; ``ord`` is passed through."""
+    """Rename the raw headers of one input to its roles; ``ord`` is passed through.
+
+    An input without any column (an absent or empty folder) has all roles and no rows. The list
+    id of the match dates may be headed by a plain ``id``.
+    """
+    if not df.columns:
+        return no_rows(df.sparkSession, kind)
+    roles = CONTRACTS[kind]
+    if kind == "match_ts" and "id" in df.columns and resolve_column(df.columns, roles["list_id"]) is None:
+        df = df.withColumnRenamed("id", arrow_header(roles["list_id"][0]))
     keep = [c for c in ("ord",) if c in df.columns]
     return select_roles(df, CONTRACTS[kind], kind, OPTIONAL_ROLES.get(kind, ()), keep)
 
 
+def no_rows(spark: SparkSession, kind: str) -> DataFrame:
+    """An empty input."""
+    roles = ", ".join(f"{r} string" for r in CONTRACTS[kind])
+    return spark.createDataFrame([], f"{roles}, ord bigint")
+
+
 # Dimensions -----------------------------------------------------------------------------
 
 
 def excluded_keys(rules: DataFrame) -> DataFrame:
     """Distinct canonical keys of the manufacturers flagged for exclusion."""
+    if "exclude_flag" not in rules.columns:  # no flags, no exclusions
+        return rules.limit(0).select(F.lit("").alias("manu_key"))
     flagged = rules.where(is_flagged(F.col("exclude_flag")) & ~is_blank(F.col("manufacturer")))
     return flagged.select(canonical_key(F.col("manufacturer")).alias("manu_key")).distinct()
 
@@ -161,7 +182,7 @@ def supplier_dim(supplier_ref: DataFrame, rules: DataFrame | None = None) -> Dat
     if rules is None:
         return dim
     keyed = dim.withColumn("manu_key", canonical_key(F.col("manufacturer")))
-    return attach(keyed, excluded_keys(rules), "manu_key", "left_anti", sized_by=rules).drop("manu_key")
+    return attach(keyed, excluded_keys(rules), "manu_key", "left_anti").drop("manu_key")
 
 
 def exclusion_counts(supplier_ref: DataFrame, rules: DataFrame) -> DataFrame:
@@ -223,7 +244,7 @@ def unmatched_rows(
         normalize_id_key(F.col("splist_id")).alias("splist_id"),
         canonical_key(F.col("manu_name")).alias("alias_key"),
         F.coalesce(repair_text(F.col("manu_name")), F.lit("")).alias("repaired"),
-        to_int(F.col("cnt")).alias("cnt"),
+        _count(unmatched).alias("cnt"),
     )
     joined = attach(_with_entity(facts, entities), named, "alias_key")
     return joined.select(
@@ -242,7 +263,7 @@ def matched_rows(matched: DataFrame, dim: DataFrame, entities: DataFrame) -> Dat
     facts = matched.select(
         normalize_id_key(F.col("splist_id")).alias("splist_id"),
         strip(F.col("abbr")).alias("abbr"),
-        to_int(F.col("cnt")).alias("cnt"),
+        _count(matched).alias("cnt"),
     )
     joined = attach(_with_entity(facts, entities), dim.select("abbr", "manufacturer", "legal_name"), "abbr")
     return joined.select(
@@ -258,9 +279,14 @@ def matched_rows(matched: DataFrame, dim: DataFrame, entities: DataFrame) -> Dat
     )
 
 
+def _count(facts: DataFrame):
+    """The count of a fact row: text is parsed, a number is taken as it is."""
+    return to_int(F.col("cnt")) if facts.schema["cnt"].dataType.typeName() == "string" else F.col("cnt")
+
+
 def _summed(facts: DataFrame, *keys: str) -> DataFrame:
     """Add up the counts per raw key before any repair or join; sums are not changed by it."""
-    return facts.groupBy(*keys).agg(F.sum(to_int(F.col("cnt"))).cast("string").alias("cnt"))
+    return facts.groupBy(*keys).agg(F.sum(_count(facts)).alias("cnt"))
 
 
 def report_long(
@@ -286,12 +312,12 @@ def report_long(
 
 
 def supplier_totals(long: DataFrame) -> DataFrame:
-    """Unmatched and matched row totals per abbreviation, both in one grouping."""
+    """Unmatched and matched row totals per abbreviation and manufacturer, both in one grouping."""
     total = {
         b: F.coalesce(F.sum(F.when(F.col("block") == b, F.col("row_count"))), F.lit(0).cast("bigint"))
         for b in LABELS
     }
-    return long.where("abbr <> ''").groupBy("abbr").agg(*[v.alias(f"{b}_rows") for b, v in total.items()])
+    return long.where("abbr <> ''").groupBy(*SUPPLIER).agg(*[v.alias(f"{b}_rows") for b, v in total.items()])
 
 
 def _max_products(products: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -373,6 +399,8 @@ def latest_dataset(datasets: DataFrame, dim: DataFrame, aliases: DataFrame) -> D
 
 def matched_at_latest(match_ts: DataFrame) -> DataFrame:
     """Newest match day per list id; null when no cell holds a date."""
+    if "matched_at" not in match_ts.columns:
+        match_ts = match_ts.limit(0).withColumn("matched_at", F.lit(None).cast("string"))
     keyed = match_ts.select(
         normalize_id_key(F.col("list_id")).alias("be_id"),
         parse_timestamp(F.col("matched_at")).alias("at"),
@@ -409,18 +437,14 @@ def supplier_kpis(
 ) -> DataFrame:
     """One row per supplier with totals, matching rate, products, datasets and prior figures.
 
-    Every side has one row per abbreviation, so all joins share one partitioning.
+    Every side has one row per abbreviation, so all joins share one partitioning. Totals belong
+    to an abbreviation and a manufacturer, as in the wide report.
     """
     zero = F.lit(0).cast("bigint")
     joined = reduce(
         lambda left, right: left.join(right, "abbr", "left"),
-        (
-            supplier_totals(long),
-            products.drop("manufacturer"),
-            datasets.drop("manufacturer"),
-            prior,
-        ),
-        dim.select("abbr", "manufacturer", "legal_name"),
+        (products.drop("manufacturer"), datasets.drop("manufacturer"), prior),
+        dim.select("abbr", "manufacturer", "legal_name").join(supplier_totals(long), SUPPLIER, "left"),
     )
     filled = joined.withColumns({c: F.coalesce(F.col(c), zero) for c in ("unmatched_rows", "matched_rows")})
     both = F.col("unmatched_rows") + F.col("matched_rows")
@@ -454,27 +478,44 @@ def report_columns(entities: DataFrame, matched_at: DataFrame, long: DataFrame)
 
 
 def column_name(label: str, client_key: str, be_key: str) -> str:
-    """Name of a pivoted report column."""
-    return f"{label} | {client_key} | {be_key}"
+    """Name of a pivoted report column; the separator inside a key is escaped, so names are unique."""
+    keys = (k.replace("\\", "\\\\").replace("|", "\\|") for k in (client_key, be_key))
+    return " | ".join((label, *keys))
+
+
+def _escaped(key: str):
+    return F.replace(F.replace(key, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+
+
+def report_pairs(long: DataFrame) -> list[tuple[str, str]]:
+    """The (client, entity) pairs of the wide report's columns, in order."""
+    return sorted(tuple(r) for r in long.select("client_key", "be_key").distinct().collect())
 
 
-def report_wide(kpis: DataFrame, long: DataFrame) -> DataFrame:
+def report_wide_parts(kpis: DataFrame, long: DataFrame, pairs: int = 1000) -> Iterator[DataFrame]:
+    """The wide report in groups of columns, for more client entities than one table should have.
+
+    Every part has all rows and the key figures, and the columns of so many client entities.
+    """
+    found = report_pairs(long)
+    for i in range(0, max(1, len(found)), pairs):
+        yield report_wide(kpis, long, found[i : i + pairs])
+
+
+def report_wide(kpis: DataFrame, long: DataFrame, pairs: list[tuple[str, str]] | None = None) -> DataFrame:
     """The wide report: key figures, then one column per block, client and entity.
 
     Names that could not be mapped appear as rows of their own with zero figures. Numeric
-    gaps are filled with 0; missing text stays null.
+    gaps are filled with 0; missing text stays null. ``pairs`` limits the columns (not the rows)
+    to some client entities.
     """
     label = F.concat_ws(
         " | ",
         F.when(F.col("block") == "unmatched", LABELS["unmatched"]).otherwise(LABELS["matched"]),
-        "client_key",
-        "be_key",
+        _escaped("client_key"),
+        _escaped("be_key"),
     )
-    most = int(long.sparkSession.conf.get("spark.sql.pivotMaxValues")) // len(LABELS)
-    found = long.select("client_key", "be_key").distinct().limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} client entities: use the long form or raise spark.sql.pivotMaxValues")
-    pairs = sorted(tuple(r) for r in found)
+    pairs = report_pairs(long) if pairs is None else pairs
     names = [column_name(v, *pair) for v in LABELS.values() for pair in pairs]
     counts = (
         long.withColumn("column", label)
@@ -493,15 +534,27 @@ def report_wide(kpis: DataFrame, long: DataFrame) -> DataFrame:
     return wide.select(*[cell(c, REPORT_NAMES[c]) for c in figures], *[cell(n, n) for n in names])
 
 
+def report_from_folders(spark: SparkSession, root: str, folders: dict[str, dict]) -> dict[str, DataFrame]:
+    """All report tables from folders of raw exports, {kind: {"dir": ..., "formats": [...]}}.
+
+    Kinds that are not named, and folders that are absent or empty, count as empty inputs.
+    """
+    raw = load_inputs(spark, root, folders, position="ord", null_tokens=PANDAS_NULLS)
+    return build_report({kind: read_roles(frame, kind) for kind, frame in raw.items()})
+
+
 def build_report(inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All report tables from the nine role-named inputs.
 
     The dimension, the aliases and the long counts are each read several times, so they are
-    written to the shared folder once.
+    written to the shared folder once. Inputs that are absent count as empty, but for the
+    supplier reference.
     """
-    dim = checkpointed(supplier_dim(inputs["supplier_ref"], inputs.get("rules")))
+    spark = inputs["supplier_ref"].sparkSession
+    inputs = {kind: no_rows(spark, kind) for kind in CONTRACTS} | inputs
+    dim = checkpointed(supplier_dim(inputs["supplier_ref"], inputs["rules"]))
     aliases = checkpointed(alias_table(dim))
-    entities = entity_map(inputs["entities"])
+    entities = checkpointed(entity_map(inputs["entities"]))
     long = checkpointed(
         report_long(inputs["unmatched"], inputs["matched"], dim, aliases, entities)
     )

@@ -93,13 +93,14 @@ def match_rates(
     )
 
 
-def parent_rollup(master: DataFrame, max_depth: int = 1 << 20) -> DataFrame:
+def parent_rollup(master: DataFrame) -> DataFrame:
     """Top-level parent of every manufacturer, with depth and status.
 
     status is root (no parent but itself), rolled_up, orphan_parent (the chain ends at an id that is
     not in the master; that id is the top) or cycle (no top). Every round doubles the
     distance covered, so a chain of n steps needs about log2(n) joins; each round is
-    written to the shared folder, and the join with a much-used ancestor stays balanced.
+    written to the shared folder, and adaptive execution splits a much-used ancestor. A path
+    of more steps than there are rows is a cycle, which bounds the rounds.
     """
     edges = checkpointed(
         master.where(F.col("manufacturer_id").isNotNull()).select(
@@ -109,15 +110,15 @@ def parent_rollup(master: DataFrame, max_depth: int = 1 << 20) -> DataFrame:
     )
     ids = edges.select(F.col("id").alias("up"), F.lit(True).alias("known"))
     # up: the next ancestor to follow, null once the chain has ended at `top`
-    start = attach(edges, ids, "up").select(
+    start = attach(edges, ids, "up", written=True).select(
         "id",
         F.when(F.col("known"), F.col("up")).alias("up"),
         F.coalesce("up", "id").alias("top"),
         F.when(F.col("up").isNull(), 0).otherwise(1).alias("depth"),
         (F.col("up").isNotNull() & F.col("known").isNull()).alias("orphan"),
     )
-    state, reach = checkpointed(start), 1
-    while reach < max_depth and not state.where(F.col("up").isNotNull()).isEmpty():
+    state, reach, rows = checkpointed(start), 1, edges.count()
+    while reach <= rows and not state.where(F.col("up").isNotNull()).isEmpty():
         step = state.select(
             F.col("id").alias("up"),
             F.col("up").alias("up2"),
@@ -127,7 +128,7 @@ def parent_rollup(master: DataFrame, max_depth: int = 1 << 20) -> DataFrame:
         )
         going = F.col("up").isNotNull()
         state = checkpointed(
-            attach(state, step, "up").select(
+            attach(state, step, "up", written=True).select(
                 "id",
                 F.col("up2").alias("up"),
                 F.when(going, F.col("top2")).otherwise(F.col("top")).alias("top"),
@@ -172,16 +173,25 @@ def near_duplicates(
     return repeated_rows(df, keys, row_id)
 
 
-def duplicate_counts(
-    df: DataFrame, keys: Sequence[str], near: Sequence[str], row_id: str
-) -> DataFrame:
-    """Rows before and after the duplicate rules, rows removed, and near-duplicate rows."""
-    before = df.agg(F.count(F.lit(1)).alias("rows_before"))
-    after = remove_duplicates(df, keys).agg(F.count(F.lit(1)))
-    alike = near_duplicates(df, near, row_id).agg(F.count(F.lit(1)))
-    counted = before.withColumns(
-        {"rows_after": after.scalar(), "near_duplicate_rows": alike.scalar()}
+def duplicate_counts(df: DataFrame, keys: Sequence[str], near: Sequence[str]) -> DataFrame:
+    """Rows before and after the duplicate rules, rows removed, and near-duplicate rows.
+
+    Equal rows are counted first; the same grouping serves both rules if their columns agree.
+    """
+    zero = F.lit(0).cast("bigint")
+    distinct = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+
+    def grouped(columns: Sequence[str]) -> DataFrame:
+        return distinct.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"), F.sum("_n").alias("_n"))
+
+    alike = F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), zero)
+    counted = grouped(keys).agg(
+        F.coalesce(F.sum("_n"), zero).alias("rows_before"),
+        F.count_if(F.col("_rows") == 1).alias("rows_after"),
+        alike.alias("near_duplicate_rows"),
     )
+    if set(near) != set(keys):
+        counted = counted.withColumn("near_duplicate_rows", grouped(near).agg(alike).scalar())
     removed = F.col("rows_before") - F.col("rows_after")
     return counted.withColumn("rows_removed", removed)
 

@@ -76,7 +76,7 @@ def profile_csv(spark: SparkSession, paths: Sequence[str]) -> list[dict]:
         F.bool_or(quotes % 2 == 1).alias("multi_line"),
     )
     headers = (
-        lines.where("block = 0")
+        lines.where("block = 0").where(F.trim("value") != "")  # blank lines before the header are skipped
         .groupBy("path")
         .agg(F.min_by(F.col("value").cast("binary"), "line").alias("header"))
     )
@@ -102,6 +102,19 @@ def _blank_to_null(df: DataFrame, columns: Iterable[str], null_tokens: Sequence[
     )
 
 
+#: A column beyond those of the header, null unless a row has too many cells.
+_BEYOND = "cells beyond the header"
+
+
+def _place():
+    """A sortable place of a row: file, block, line."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+
+
 def read_csv_files(
     spark: SparkSession,
     paths: Sequence[str],
@@ -116,6 +129,8 @@ def read_csv_files(
     required     columns every single file must have
     file_column  adds the file name
     position     adds a sortable column giving the row's place: file, block, line
+
+    A row with more cells than its file's header raises an error, since no cell is dropped.
     """
     groups = defaultdict(list)
     for profile in profile_csv(spark, paths):
@@ -126,23 +141,19 @@ def read_csv_files(
     united = None
     for (names, encoding, multi_line), members in groups.items():
         frame = (
-            spark.read.schema(", ".join(f"`{n}` string" for n in names))
+            spark.read.schema(", ".join(f"`{n}` string" for n in (*names, _BEYOND)))
             .options(header=True, enforceSchema=True, encoding=encoding, quote='"', escape='"')
             .option("multiLine", multi_line)
             .csv(members)
         )
+        wide = F.raise_error(F.concat(F.lit("more cells than columns in a row of "), F.col("_metadata.file_path")))
         extra = []
         if file_column:
             escaped = F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))
             extra.append(F.url_decode(escaped).alias(file_column))
         if position:
-            extra.append(
-                F.struct(
-                    F.col("_metadata.file_path").alias("file"),
-                    F.col("_metadata.file_block_start").alias("block"),
-                    F.monotonically_increasing_id().alias("line"),
-                ).alias(position)
-            )
+            extra.append(_place().alias(position))
+        frame = frame.where(F.when(F.col(_BEYOND).isNull(), True).otherwise(wide.cast("boolean")))
         frame = frame.select(*[F.col(f"`{n}`") for n in names], *extra)
         frame = _blank_to_null(frame, names, null_tokens)
         united = frame if united is None else united.unionByName(frame, allowMissingColumns=True)
@@ -159,8 +170,14 @@ def read_csv_folder(spark: SparkSession, folder: str, **options) -> DataFrame:
     return read_csv_files(spark, paths, **options) if paths else _empty(spark)
 
 
-def read_folder(spark: SparkSession, folder: str, formats: Sequence[str], **options) -> DataFrame:
-    """The files of the first listed format that has any; later formats are ignored."""
+def read_folder(
+    spark: SparkSession, folder: str, formats: Sequence[str], position: str | None = None,
+    null_tokens: Sequence[str] = (), **options,
+) -> DataFrame:
+    """The files of the first listed format that has any; later formats are ignored.
+
+    Every format gives text columns, the same missing cells and, if asked for, a position.
+    """
     for extension in formats:
         paths = list_files(spark, folder, extension)
         if not paths:
@@ -168,9 +185,12 @@ def read_folder(spark: SparkSession, folder: str, formats: Sequence[str], **opti
         if extension not in FORMATS:
             raise ValueError(f"unsupported format '{extension}' for folder {folder}")
         if extension == "csv":
-            return read_csv_files(spark, paths, **options)
+            return read_csv_files(spark, paths, position=position, null_tokens=null_tokens, **options)
         frame = spark.read.format(extension).load(paths)
-        return frame.toDF(*unique_names((arrow_header(c) for c in frame.columns), folder))
+        names = unique_names((arrow_header(c) for c in frame.columns), folder)
+        cells = [F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(frame.columns, names)]
+        frame = frame.select(*cells, *([_place().alias(position)] if position else []))
+        return _blank_to_null(frame, names, null_tokens)
     return _empty(spark)
 
 
@@ -235,6 +255,6 @@ def preview_csv(spark: SparkSession, path: str) -> DataFrame:
     return preview(spark.read.csv(path, header=True, inferSchema=True))
 
 
-def sample_rows(df: DataFrame, rows: int = 5) -> DataFrame:
-    """Any few rows."""
-    return df.limit(rows)
+def sample_rows(df: DataFrame, order_by: str, rows: int = 5) -> DataFrame:
+    """The first few rows in the order of a column."""
+    return df.orderBy(order_by).limit(rows)

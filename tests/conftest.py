@@ -26,12 +26,18 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def shuffled(spark):
-    """No broadcast by measure, and every key of five rows or more counts as heavy."""
-    spark.conf.set("spark.concord.broadcastBytes", "0")
-    spark.conf.set("spark.concord.heavyRows", "5")
+    """No broadcast, and adaptive execution takes every partition of some size for a skewed one."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     yield spark
-    spark.conf.unset("spark.concord.broadcastBytes")
-    spark.conf.unset("spark.concord.heavyRows")
+    for key in settings:
+        spark.conf.unset(key)
 
 
 def rows(df, *columns):

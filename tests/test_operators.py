@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from concord.operators import keyed
-from concord.operators.joins import attach, attach_many, fits_broadcast, heavy_keys, measured_bytes
+from concord.operators.joins import attach, attach_many
 from tests.conftest import rows
 
 FACTS = [(i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i % 7}") for i in range(60)]
@@ -28,16 +28,18 @@ def expected(how):
 
 
 @pytest.mark.parametrize("how", ("left", "inner", "left_semi", "left_anti"))
-def test_attach_by_broadcast_and_by_heavy_keys(spark, how):
+def test_attach_by_broadcast(spark, how):
     wanted = sorted(expected(how), key=lambda r: r[0])
     columns = ("id", "k", "v") if how in ("left", "inner") else ("id", "k")
-    for limit, heavy in ((None, None), ("0", "5"), ("0", "1000000")):
-        for name, value in (("broadcastBytes", limit), ("heavyRows", heavy)):
-            key = f"spark.concord.{name}"
-            spark.conf.set(key, value) if value else spark.conf.unset(key)
-        assert rows(attach(*frames(spark), "k", how), *columns) == wanted
-    spark.conf.unset("spark.concord.broadcastBytes")
-    spark.conf.unset("spark.concord.heavyRows")
+    assert rows(attach(*frames(spark), "k", how), *columns) == wanted
+
+
+@pytest.mark.parametrize("how", ("left", "inner", "left_semi", "left_anti"))
+def test_attach_by_shuffle(shuffled, how):
+    wanted = sorted(expected(how), key=lambda r: r[0])
+    columns = ("id", "k", "v") if how in ("left", "inner") else ("id", "k")
+    facts, lookup = frames(shuffled)
+    assert rows(attach(facts, lookup.groupBy("k").agg(F.max("v").alias("v")), "k", how), *columns) == wanted
 
 
 def test_attach_on_two_keys_with_missing_parts(shuffled):
@@ -54,16 +56,11 @@ def test_attach_on_two_keys_with_missing_parts(shuffled):
     ]
 
 
-def test_large_lookups_are_not_broadcast(shuffled):
+def test_both_sides_of_a_large_lookup_are_plain_shuffles(shuffled):
+    """Adaptive execution splits frequent keys only where nothing but a sort is between join and shuffle."""
     facts, lookup = frames(shuffled)
-    shuffled.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = attach(facts, lookup, "k")._jdf.queryExecution().optimizedPlan().toString()
-        heavy = heavy_keys(facts, ["k"])
-    finally:
-        shuffled.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Union" in plan
-    assert {r["k"] for r in heavy.collect()} == {"hot", None}
+    plan = attach(facts, lookup.groupBy("k").agg(F.max("v").alias("v")), "k")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Aggregate" not in plan and "Broadcast" not in plan
 
 
 def test_attach_many_keeps_every_match(spark):
@@ -72,23 +69,25 @@ def test_attach_many_keeps_every_match(spark):
     assert rows(attach_many(facts, lookup, "k"), "id", "v") == [(1, "x"), (1, "y")]
 
 
-def test_size_is_measured(spark):
-    small = spark.createDataFrame([("ab", 1), (None, 2)], "s string, n int")
-    assert measured_bytes(small) == 2 * 2 * 16 + 2
-    assert fits_broadcast(small)
-    spark.conf.set("spark.concord.broadcastBytes", "60")
-    try:
-        assert not fits_broadcast(small)
-    finally:
-        spark.conf.unset("spark.concord.broadcastBytes")
-
-
-@pytest.mark.parametrize("per_bucket", (3, 7, 1000))
-def test_ordinal_is_contiguous_in_order(spark, per_bucket):
-    keys = [(k * 37) % 1009 for k in range(1, 60)]
+@pytest.mark.parametrize("kind", ("bigint", "string", "struct<a:bigint,b:string>"))
+@pytest.mark.parametrize("ranges", (1, 3, 7))
+def test_ordinal_is_contiguous_in_order(spark, kind, ranges):
+    keys = [(k * 37) % 1009 + 1000 for k in range(1, 60)]
+    cell = {"bigint": "k", "string": "cast(k as string)"}.get(kind, "named_struct('a', k div 100, 'b', cast(k as string))")
     frame = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(5)
-    numbered = keyed.source_ordinal(frame, "k", "n", rows_per_bucket=per_bucket)
-    assert rows(numbered, "n", "k") == [(i, k) for i, k in enumerate(sorted(keys), 1)]
+    frame = frame.selectExpr("k", f"CASE WHEN k > 1020 THEN {cell} END AS place")
+    numbered = keyed.source_ordinal(frame, "place", "n", partitions=ranges).collect()
+    missing = sum(k <= 1020 for k in keys)
+    assert missing and sorted(r["n"] for r in numbered) == list(range(1, len(keys) + 1))
+    assert {r["n"] for r in numbered if r["place"] is None} == set(range(1, missing + 1))
+    present = sorted((r["n"], r["k"]) for r in numbered if r["place"] is not None)
+    assert [k for _, k in present] == sorted(k for k in keys if k > 1020)
+
+
+def test_ordinal_of_repeated_and_no_rows(spark):
+    same = spark.range(1000).selectExpr("CAST(NULL AS string) AS k", "id", "map('a', 1) AS m")
+    assert rows(keyed.source_ordinal(same, "k", "n", 4), "n") == [(i,) for i in range(1, 1001)]
+    assert keyed.source_ordinal(same.limit(0), "k", "n").count() == 0
 
 
 def test_keep_first_and_last_treat_missing_keys_as_equal(spark):

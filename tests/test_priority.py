@@ -90,7 +90,7 @@ def test_counts_fan_out_and_unmapped_names_stay(spark):
     assert rows(found, "abbr", "manufacturer", "cnt") == [(None, None, 30), ("A", "Alpha", 10), ("Z", None, 20)]
     long = priority.report_long(unmatched, matched, dim, aliases, entities(spark))
     assert rows(long.where("block = 'matched'"), "abbr", "row_count") == [("A", 10)]
-    assert rows(priority.supplier_totals(long)) == [("A", 2000, 10), ("C", 2, 0)]
+    assert rows(priority.supplier_totals(long)) == [("A", "Alpha", 2000, 10), ("C", "Ça va", 2, 0)]
 
 
 def test_products_take_the_largest_count(spark):
@@ -177,12 +177,37 @@ def test_wide_report(spark):
     assert tuple(found["Who is"])[:2] == ("", "Who is")
     assert found["Who is"]["Matching Rate"] == 0.0 and found["Who is"]["Legal Name"] is None
     assert found["Alpha"]["Matched Rows | c | y.z"] == 2 and found["Alpha"]["Matched Rows | c | x"] == 0
-    spark.conf.set("spark.sql.pivotMaxValues", "3")
-    try:
-        with pytest.raises(ValueError, match="pivotMaxValues"):
-            priority.report_wide(kpis, long)
-    finally:
-        spark.conf.unset("spark.sql.pivotMaxValues")
+    parts = [p.columns[-2:] for p in priority.report_wide_parts(kpis, long, pairs=1)]
+    assert parts == [["Unmatched | c | x", "Matched Rows | c | x"], ["Unmatched | c | y.z", "Matched Rows | c | y.z"]]
+
+
+def test_wide_columns_with_the_separator_in_a_name(spark):
+    kpis = spark.createDataFrame([("A", "Alpha", 3)], "abbr string, manufacturer string, total_rows bigint")
+    long = spark.createDataFrame(
+        [("matched", "A", "Alpha", "a | b", "c", 1), ("matched", "A", "Alpha", "a", "b | c", 2)],
+        "block string, abbr string, manufacturer string, client_key string, be_key string, row_count bigint",
+    )
+    row = priority.report_wide(kpis, long).first().asDict()
+    assert row[r"Matched Rows | a \| b | c"] == 1 and row[r"Matched Rows | a | b \| c"] == 2
+
+
+def test_report_of_the_supplier_reference_alone(spark):
+    """Every other input may be absent, or come from an empty folder."""
+    nothing = spark.createDataFrame([], "struct<>")
+    for others in ({}, {k: priority.read_roles(nothing, k) for k in priority.CONTRACTS if k != "supplier_ref"}):
+        tables = priority.build_report({"supplier_ref": ref(spark), **others})
+        kpis = tables["kpis"].collect()
+        assert len(kpis) == 3 and all(r["total_rows"] == 0 and r["matching_rate"] is None for r in kpis)
+        assert priority.report_wide(tables["kpis"], tables["long"]).count() == 3
+        assert all(tables[t].isEmpty() for t in ("long", "columns", "unmapped"))
+
+
+def test_match_dates_headed_by_a_plain_id(spark):
+    frame = spark.createDataFrame([("7.0", "2024-02-03")], "id string, matchedat string")
+    latest = priority.matched_at_latest(priority.read_roles(frame, "match_ts"))
+    assert [tuple(map(str, r)) for r in latest.collect()] == [("7", "2024-02-03")]
+    undated = spark.createDataFrame([("7",)], "id string")
+    assert priority.matched_at_latest(priority.read_roles(undated, "match_ts")).collect() == []
 
 
 def test_raw_headers_resolve_to_roles(spark):
@@ -192,7 +217,9 @@ def test_raw_headers_resolve_to_roles(spark):
     plain = headers.normalize_headers(raw, headers.arrow_header)
     assert rows(priority.read_roles(plain, "supplier_ref")) == [("Alpha", "Alpha GmbH", "A", 1)]
     with pytest.raises(ValueError, match="rules"):
-        priority.read_roles(plain, "rules")
+        priority.read_roles(plain.drop("name", "legalname"), "rules")
+    unflagged = priority.read_roles(plain.withColumnRenamed("name", "manufacturer"), "rules")
+    assert rows(priority.excluded_keys(unflagged)) == []
     prior = headers.normalize_headers(
         spark.createDataFrame([("A", "0.1", "hi")], ["Abbreviation", "Matching  Rate", "CRM Stage"]),
         headers.arrow_header,

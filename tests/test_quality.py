@@ -56,7 +56,7 @@ def chain(spark, pairs):
 
 def test_rollup_of_chains_orphans_and_cycles(spark):
     pairs = [(1, None), (2, 1), (3, 2), (4, 4), (5, 77), (6, 5), (7, 8), (8, 9), (9, 7), (10, 9)]
-    assert rows(quality.parent_rollup(chain(spark, pairs), max_depth=64)) == [
+    assert rows(quality.parent_rollup(chain(spark, pairs))) == [
         (1, 1, 0, "root"),
         (2, 1, 1, "rolled_up"),
         (3, 1, 2, "rolled_up"),
@@ -93,20 +93,19 @@ def test_duplicate_rules(spark):
     assert rows(quality.near_duplicates(unique, ["k", "v"], "id"), "id") == [(1,), (2,), (4,), (5,)]
     digested = quality.near_duplicates(unique, ["k", "v"], "id", digest=True)
     assert rows(digested, "id") == [(1,), (2,), (4,), (5,)]
-    assert rows(quality.duplicate_counts(unique, ["k", "v"], ["k", "v"], "id")) == [(5, 1, 4, 4)]
+    assert rows(quality.duplicate_counts(unique, ["k", "v"], ["k", "v"])) == [(5, 1, 4, 4)]
+    assert rows(quality.duplicate_counts(frame, ["k", "v"], ["k"])) == [(6, 1, 5, 5)]
+    assert rows(quality.duplicate_counts(frame.limit(0), ["k"], ["k"])) == [(0, 0, 0, 0)]
 
 
-@pytest.mark.parametrize("limits", ({}, {"broadcastBytes": "0", "heavyRows": "2"}))
-def test_duplicate_groups_tell_why(spark, limits):
+@pytest.mark.parametrize("session", ("spark", "shuffled"))
+def test_duplicate_groups_tell_why(request, session):
+    spark = request.getfixturevalue(session)
     frame = spark.createDataFrame(
         [(1, "Bolt-1", None), (2, "bolt 1", None), (3, "Bolt-1", None), (4, "Bolt-2", None)],
         "id int, name string, note string",
     )
-    for name, value in limits.items():
-        spark.conf.set(f"spark.concord.{name}", value)
     got = rows(quality.duplicate_groups(frame, ["name", "note"], "id"))
-    for name in limits:
-        spark.conf.unset(f"spark.concord.{name}")
     assert got == [
         (1, 1, 3, "keep", "first row of the group"),
         (2, 1, 3, "drop", "same text after normalisation"),

@@ -36,8 +36,8 @@ def test_resolution_follows_table_order():
 
 def test_required_and_optional_columns(spark):
     frame = spark.createDataFrame([("x",)], ["a"])
-    with pytest.raises(ValueError, match="input is missing required columns: b, c"):
-        headers.require_columns(frame.columns, {"c", "b", "a"}, "input")
+    with pytest.raises(ValueError, match=r"input: no column .b., .c. among \[.a.\]"):
+        headers.require_columns(frame.columns, ["a", "b", "c"], "input")
     assert rows(headers.fill_optional(frame, ["a", "b"]), "a", "b") == [("x", "")]
     with pytest.raises(ValueError, match="rate"):
         headers.select_roles(frame, {"name": ["a"], "rate": ["percent"]}, "prior")
@@ -45,6 +45,24 @@ def test_required_and_optional_columns(spark):
     assert picked.columns == ["name"]
 
 
+def test_wide_rows_are_refused_and_leading_blank_lines_skipped(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "\n\nA,B\n1,2\n3\n")
+    found = folders.read_csv_folder(spark, str(tmp_path / "in"))
+    assert rows(found, "a", "b") == [("1", "2"), ("3", None)]
+    put(tmp_path / "wide", "a.csv", "A,B\n1,2,3\n")
+    with pytest.raises(Exception, match="more cells than columns"):
+        folders.read_csv_folder(spark, str(tmp_path / "wide")).collect()
+
+
+@pytest.mark.parametrize("kind", ("parquet", "json", "csv"))
+def test_every_format_has_a_position_and_text(spark, tmp_path, kind):
+    frame = spark.createDataFrame([(1, "x"), (2, "NA")], "Count int, Name string").coalesce(1)
+    frame.write.format(kind).options(**({"header": True} if kind == "csv" else {})).save(str(tmp_path / "in"))
+    found = folders.read_folder(spark, str(tmp_path / "in"), ["parquet", "json", "csv"], position="ord", null_tokens=["NA"])
+    assert dict(found.dtypes)["count"] == "string"
+    assert [(r["count"], r["name"]) for r in found.orderBy("ord").collect()] == [("1", "x"), ("2", None)]
+
+
 def test_folder_with_mixed_headers_encodings_and_lines(spark, tmp_path):
     folder = tmp_path / "in"
     put(folder, "a.csv", "Name,Count\nMüller,1\n\"two, parts\",\n")
@@ -100,7 +118,7 @@ def test_batches(spark, tmp_path):
         ("l2", "i2", "s2", "x", "two.csv"),
     ]
     put(tmp_path / "b", "three.csv", "list_id,item_id\nl,i\n")
-    with pytest.raises(ValueError, match="three.csv is missing required columns: source_id"):
+    with pytest.raises(ValueError, match="three.csv: no column .source_id."):
         folders.load_batches(spark, str(tmp_path / "b"), required)
 
 
@@ -121,7 +139,7 @@ def test_mapping_preview_and_single_table(spark, tmp_path):
     assert rows(folders.read_table(spark, table)) == [("1", "2024-01-01"), ("2", None)]
     seen = folders.preview_csv(spark, put(tmp_path, "u.csv", "id,word\n1,a\n2,b\n"))
     assert rows(seen) == [(0, "id", "int", 2), (1, "word", "string", 2)]
-    assert folders.sample_rows(spark.range(9), 4).count() == 4
+    assert rows(folders.sample_rows(spark.range(9), "id", 4)) == [(i,) for i in range(4)]
 
 
 def test_sinks(spark, tmp_path):
