@@ -304,6 +304,15 @@ def unmatched_rate(spark, sf):
     return rounded(coverage.unmatched_source_rate(_annotated(spark, sf)))
 
 
+def coverage_from_folders(spark, sf):
+    """The coverage of CSV batches read from a folder, as the whole run gives it."""
+    folder = shared_folder(spark)
+    sinks.write_csv(view(spark, sf, "v_observed").toDF("List ID", "Item-ID", "SOURCE_id"), folder)
+    batches = folders.load_batches(spark, folder, coverage.OBSERVED_COLUMNS).drop("batch_name")
+    tables = coverage.coverage_tables(batches, view(spark, sf, "v_candidates"), view(spark, sf, "v_lookup"))
+    return rounded(tables["list_coverage"])
+
+
 # Audited cleaning -----------------------------------------------------------------------
 
 
@@ -319,6 +328,14 @@ def catalog_audit(spark, sf):
     return _cleaned(spark, sf)[1]
 
 
+def cleaning_from_folders(spark, sf):
+    """The audit log of a catalog read from CSV, numbered by the place of its rows."""
+    root = shared_folder(spark)
+    sinks.write_csv(view(spark, sf, "v_catalog").orderBy("row_id").drop("row_id"), f"{root}/catalog")
+    catalog = folders.read_folder(spark, f"{root}/catalog", ["csv"], position="ord")
+    return cleaning.cleaning_tables(catalog, view(spark, sf, "v_mapping"), "ord")["audit_log"]
+
+
 def catalog_roles(spark, sf):
     return cleaning.with_role(_cleaned(spark, sf)[0]).select("row_id", "source_row", "role")
 
@@ -363,6 +380,16 @@ def lineage_summary(spark, sf):
     return lineage.lineage_tables(research, matching, imports)["coverage_summary"]
 
 
+def lineage_from_folders(spark, sf):
+    """The summary of a lineage run over inputs of three formats."""
+    root, inputs = shared_folder(spark), []
+    for name, form in zip(("research", "matching", "imports"), ("json", "parquet", "csv")):
+        options = {"header": True} if form == "csv" else {"ignoreNullFields": False}
+        view(spark, sf, f"v_{name}").write.format(form).options(**options).save(f"{root}/{name}")
+        inputs.append(folders.read_folder(spark, f"{root}/{name}", ["csv", "json", "parquet"]))
+    return lineage.lineage_tables(*inputs)["coverage_summary"]
+
+
 def identifier_crosstab(spark, sf):
     return lineage.identifier_summary(lineage.compare_identifiers(view(spark, sf, "v_research")))
 
@@ -478,8 +505,10 @@ JOBS = (
     coverage_restricted,
     coverage_summary,
     unmatched_rate,
+    coverage_from_folders,
     catalog_cleaned,
     catalog_audit,
+    cleaning_from_folders,
     catalog_roles,
     row_ordinal,
     candidate_pairs,
@@ -487,6 +516,7 @@ JOBS = (
     lineage_rows,
     identifier_status,
     lineage_summary,
+    lineage_from_folders,
     identifier_crosstab,
     text_repair,
     id_and_int_parse,

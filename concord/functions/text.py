@@ -1,8 +1,8 @@
 """Text repair and comparison keys, all evaluated in the JVM.
 
 Spark has no built-in for Unicode NFKC or full case folding. Both come from the ICU
-library on Spark's own class path through the SQL function ``try_reflect``, so no row
-is sent to a Python worker; plain ASCII text skips the call altogether.
+library on Spark's own class path through the SQL function ``reflect``, so no row
+is sent to a Python worker; plain ASCII text skips the call altogether, and a call that fails raises.
 """
 
 from __future__ import annotations
@@ -56,12 +56,16 @@ def strip(col: Column) -> Column:
     return F.when(is_ascii(col), F.btrim(col, F.lit(ASCII_SPACE))).otherwise(everything)
 
 
+def _called(owner: str, method: str, text: Column) -> Column:
+    return F.when(text.isNotNull(), F.reflect(F.lit(owner), F.lit(method), text, F.lit(True)))
+
+
 def _compose(text: Column) -> Column:
-    return F.try_reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(True))
+    return _called("com.ibm.icu.text.Normalizer", "compose", text)
 
 
 def _fold(text: Column) -> Column:
-    return F.try_reflect(F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), text, F.lit(True))
+    return _called("com.ibm.icu.lang.UCharacter", "foldCase", text)
 
 
 def nfkc(col: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections import defaultdict
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +31,23 @@ def local_session(cores: str = "*", name: str = "concord", **extra: str) -> Spar
     return builder.getOrCreate()
 
 
+#: Sub-folders given out, by application.
+_folders: dict[str, list[str]] = defaultdict(list)
+
+
+def drop_written(spark: SparkSession) -> int:
+    """Remove the tables this session's jobs have written to the shared folder; tells how many folders.
+
+    For whoever owns the session, once the results that read them are stored or shown.
+    """
+    folders = _folders.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    return len(folders)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh sub-folder of the folder the cluster names in spark.checkpoint.dir.
 
@@ -41,7 +59,9 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="concord-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, f"concord-{uuid.uuid4().hex}")
+    folder = os.path.join(root, f"concord-{uuid.uuid4().hex}")
+    _folders[spark.sparkContext.applicationId].append(folder)
+    return folder
 
 
 def checkpointed(df):
