@@ -27,9 +27,13 @@ def written(df: DataFrame) -> DataFrame:
     return checkpointed(df)
 
 
-def small_or_shuffled(df: DataFrame) -> DataFrame:
-    """A hint to broadcast a written table if its counted rows are few; else the frame as it is."""
-    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+def small_or_shuffled(df: DataFrame, lists: str | None = None) -> DataFrame:
+    """A hint to broadcast a written table if it is counted to be small; else the frame as it is.
+
+    lists: a column of lists, whose entries count as rows.
+    """
+    entries = F.count("*") if lists is None else F.count("*") + F.coalesce(F.sum(F.greatest(F.size(lists), F.lit(0))), F.lit(0))
+    return F.broadcast(df) if df.agg(entries).first()[0] <= SMALL_ROWS else df
 
 
 def picked(docs: DataFrame, **columns: str) -> DataFrame:
