@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concord.llm.frames import picked, table, written
+from concord.operators.keyed import source_ordinal
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -171,22 +172,10 @@ def mix_sources(
 
 
 def with_weights(totals: DataFrame, weights: tuple[int, ...]) -> DataFrame:
-    """(key, source_size, weight): the weights in turn, by the keys in order.
-
-    The keys are sorted into ranges, numbered in each, and moved on by the sizes of the ranges
-    before, so no task sees all sources.
-    """
-    ordered = written(
-        totals.repartitionByRange("key").sortWithinPartitions("key").withColumn("id", F.monotonically_increasing_id())
-    )
-    place = F.col("id").bitwiseAND((1 << 33) - 1)
-    ranges = ordered.groupBy(F.shiftright("id", 33).alias("range")).agg(F.count("*").alias("n")).orderBy("range").collect()
-    offset, ahead = {}, 0
-    for r, n in ranges:
-        offset[r], ahead = ahead, ahead + n
-    moved = F.coalesce(*(F.when(F.shiftright("id", 33) == r, F.lit(o)) for r, o in offset.items()), F.lit(0))
-    turn = F.pmod(place + moved, F.lit(len(weights)))
-    return ordered.select("key", "source_size", F.element_at(F.array(*map(F.lit, weights)), (turn + 1).cast("int")).cast("long").alias("weight"))
+    """(key, source_size, weight): the weights in turn, by the keys in order; no task sees all sources."""
+    turn = F.pmod(F.col("nth") - 1, F.lit(len(weights))).cast("int")
+    listed = F.array(*(F.lit(w).cast("long") for w in weights))
+    return source_ordinal(totals, "key", "nth").select("key", "source_size", F.get(listed, turn).alias("weight"))
 
 
 def op1_mixing(spark, folder: str) -> DataFrame:
