@@ -65,6 +65,12 @@ def mart_roundtrip(spark, sf):
     return rounded(tables["daily_metrics"], 4)
 
 
+def mart_table(spark, sf):
+    """The hourly mart after saving it as a catalog table."""
+    sinks.save_table(trips.hourly_demand(_clean(spark, sf)), "concord_hourly_demand", shared_folder(spark))
+    return rounded(spark.table("concord_hourly_demand"), 4)
+
+
 # Priority report ------------------------------------------------------------------------
 
 
@@ -124,6 +130,16 @@ def unmapped_suppliers(spark, sf):
     return priority.unmapped_suppliers(view(spark, sf, "v_products"), _aliases(spark, sf))
 
 
+def unmapped_diagnostics(spark, sf):
+    """The unmapped names after writing the diagnostics table, which is written as it has rows."""
+    folder = shared_folder(spark)
+    written = sinks.write_if_any(unmapped_suppliers(spark, sf), f"{folder}/unmapped")
+    none = sinks.write_if_any(unmapped_suppliers(spark, sf).where("unmapped_supplier_key IS NULL"), f"{folder}/none")
+    if not written or none:
+        raise AssertionError("a table is written if and only if it has rows")
+    return folders.read_csv_folder(spark, f"{folder}/unmapped")
+
+
 def latest_dataset(spark, sf):
     dim = _dim(spark, sf)
     return priority.latest_dataset(view(spark, sf, "v_datasets"), dim, priority.alias_table(dim))
@@ -313,6 +329,14 @@ def coverage_from_folders(spark, sf):
     return rounded(tables["list_coverage"])
 
 
+def coverage_positions(spark, sf):
+    """The place of each coverage row in report order, lists without a source last."""
+    name = F.col("source_name")
+    place = F.struct("list_id", name.isNull().alias("last"), name.alias("source_name"))
+    ordered = source_ordinal(_coverage(spark, sf).withColumn("place", place), "place", "position")
+    return ordered.select("position", "list_id", "source_name")
+
+
 # Audited cleaning -----------------------------------------------------------------------
 
 
@@ -336,6 +360,20 @@ def cleaning_from_folders(spark, sf):
     return cleaning.cleaning_tables(catalog, view(spark, sf, "v_mapping"), "ord")["audit_log"]
 
 
+def catalog_filled(spark, sf):
+    """The cleaned catalog of an export without the two address columns, which are created blank."""
+    export = view(spark, sf, "v_catalog").drop("manufacturer_url", "supplier_url")
+    return cleaning.clean_catalog(export, view(spark, sf, "v_mapping"))[0]
+
+
+def mapping_from_json(spark, sf):
+    """The reviewed names as a JSON object, read back as rows."""
+    folder = shared_folder(spark)
+    pairs = F.map_from_entries(F.collect_list(F.struct("name_key", "mapped")))
+    view(spark, sf, "v_mapping").agg(F.to_json(pairs).alias("value")).write.text(folder)
+    return folders.read_mapping(spark, folder)
+
+
 def catalog_roles(spark, sf):
     return cleaning.with_role(_cleaned(spark, sf)[0]).select("row_id", "source_row", "role")
 
@@ -467,6 +505,7 @@ JOBS = (
     source_preview,
     source_sample,
     mart_roundtrip,
+    mart_table,
     supplier_dim,
     supplier_dim_excluded,
     exclusion_counts,
@@ -476,6 +515,7 @@ JOBS = (
     matched_by_entity,
     products_max,
     unmapped_suppliers,
+    unmapped_diagnostics,
     latest_dataset,
     matched_at_latest,
     prior_period,
@@ -506,9 +546,12 @@ JOBS = (
     coverage_summary,
     unmatched_rate,
     coverage_from_folders,
+    coverage_positions,
     catalog_cleaned,
     catalog_audit,
     cleaning_from_folders,
+    catalog_filled,
+    mapping_from_json,
     catalog_roles,
     row_ordinal,
     candidate_pairs,
