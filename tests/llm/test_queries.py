@@ -34,7 +34,8 @@ def test_query_and_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_query_without_sql(spark, name):
     got = registry.QUERIES[name](spark, SMALL)
-    assert got.count() == table(spark, SMALL, "documents").count()
+    documents = table(spark, SMALL, "documents").count()
+    assert 0 < got.count() < documents if name == "op7_substring_dedup" else got.count() == documents
     assert not any(kind == "void" for _, kind in got.dtypes)
 
 
