@@ -96,7 +96,7 @@ def test_matcher_sees_the_raw_values(spark):
 
 def test_contracts(spark):
     research, matching, imports = inputs(spark)
-    with pytest.raises(ValueError, match="matching candidates is missing required columns: is_matched"):
+    with pytest.raises(ValueError, match="matching candidates: no column .is_matched."):
         lineage.collapse_candidates(matching.drop("is_matched"))
     with pytest.raises(ValueError, match="research rows"):
         lineage.build_lineage(research.drop("list_id"), matching, imports)
