@@ -124,3 +124,19 @@ def test_share_of_nothing(spark):
     assert rows(keyed.share_of_total(spark.createDataFrame([], "n bigint"), "n")) == []
     zero = spark.createDataFrame([(0,)], "n bigint")
     assert rows(keyed.share_of_total(zero, "n")) == [(0, 0.0)]
+
+
+def test_written_tables_have_an_owner(spark, tmp_path):
+    from pathlib import Path
+
+    from concord import session
+
+    before = spark.conf.get("spark.checkpoint.dir")
+    session.drop_written(spark)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        kept = session.checkpointed(spark.range(5))
+        assert kept.count() == 5 and len(list(Path(tmp_path).iterdir())) == 1
+        assert session.drop_written(spark) == 1 and list(Path(tmp_path).glob("concord-*")) == []
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
