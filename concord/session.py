@@ -33,6 +33,8 @@ def local_session(cores: str = "*", name: str = "concord", **extra: str) -> Spar
 
 #: Sub-folders given out, by application.
 _folders: dict[str, list[str]] = defaultdict(list)
+#: Folders of local sessions that name none, by application.
+_local: dict[str, str] = {}
 
 
 def drop_written(spark: SparkSession) -> int:
@@ -57,8 +59,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="concord-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="concord-")
+        _local[spark.sparkContext.applicationId] = root
     folder = os.path.join(root, f"concord-{uuid.uuid4().hex}")
     _folders[spark.sparkContext.applicationId].append(folder)
     return folder
