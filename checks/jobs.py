@@ -202,6 +202,14 @@ def report_from_folders(spark, sf):
     return rounded(priority.report_wide(tables["kpis"], tables["long"]))
 
 
+def report_percent(spark, sf):
+    """The rates of the report file, which are percent text there; read back with its own headers."""
+    tables = priority.build_report(_inputs(spark, sf))
+    folder = shared_folder(spark)
+    sinks.write_report(priority.report_wide(tables["kpis"], tables["long"]), folder)
+    return folders.read_table(spark, folder).select("Abbreviation", "Manufacturer", "Matching Rate", "Last Month MR")
+
+
 def report_columns(spark, sf):
     matched_at = priority.matched_at_latest(view(spark, sf, "v_match_ts"))
     return priority.report_columns(_entities(spark, sf), matched_at, _long(spark, sf))
@@ -523,6 +531,7 @@ JOBS = (
     report_long,
     report_pivot,
     report_from_folders,
+    report_percent,
     report_columns,
     name_standardised,
     name_standardised_by_key,
