@@ -421,6 +421,15 @@ def identifier_status(spark, sf):
     return rows.groupBy(*statuses, "identifier_agreement").agg(F.count(F.lit(1)).alias("lines"))
 
 
+def identifier_matcher(spark, sf):
+    """Lines per combination of field statuses when two shared letters at the start count as a match."""
+    def alike(left, right):
+        return F.left(F.lower(F.trim(left)), F.lit(2)) == F.left(F.lower(F.trim(right)), F.lit(2))
+
+    rows = lineage.compare_identifiers(view(spark, sf, "v_research"), alike)
+    return rows.groupBy(*[f"{f}_match" for f in lineage.FIELDS]).agg(F.count(F.lit(1)).alias("lines"))
+
+
 def lineage_summary(spark, sf):
     research, matching, imports = (view(spark, sf, f"v_{n}") for n in ("research", "matching", "imports"))
     return lineage.lineage_tables(research, matching, imports)["coverage_summary"]
@@ -450,6 +459,20 @@ def text_repair(spark, sf):
     )
 
 
+def text_misread(spark, sf):
+    """Documents whose UTF-8 was read as Latin-1; two letters whose bytes are white space there are replaced first."""
+    text = F.translate("text", "àÅ", "aA")
+    misread = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+    return view(spark, sf, "documents").select("doc_id", repair_text(misread).alias("repaired"))
+
+
+def text_widened(spark, sf):
+    """Documents in full-width letters, which become plain ones again."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    wide = F.translate("text", letters, "".join(chr(ord(c) + 0xFEE0) for c in letters))
+    return view(spark, sf, "documents").select("doc_id", repair_text(wide).alias("repaired"))
+
+
 def id_and_int_parse(spark, sf):
     raw = F.col("raw")
     return view(spark, sf, "v_id_text").select(
@@ -567,10 +590,13 @@ JOBS = (
     candidate_descriptions,
     lineage_rows,
     identifier_status,
+    identifier_matcher,
     lineage_summary,
     lineage_from_folders,
     identifier_crosstab,
     text_repair,
+    text_misread,
+    text_widened,
     id_and_int_parse,
     date_parse,
     batch_union,
