@@ -4,9 +4,12 @@ A text's canonical form is its words in lower case, without punctuation, with on
 words that have several, and without copyright lines (lines that begin with "copyright", "(c)" or
 the sign, or with "all rights reserved"). Its digest is hash-joined to the digests of known
 licences, so an entire text is found however it is wrapped, punctuated or capitalised. The same is
-done for each statement of a text (a line, or a sentence of it): licences named in notices.
+done for each statement of a text (a line, or a sentence of it): licences named in notices. A notice
+of up to NOTICE_WORDS words is also found over several of them, as long as it begins and ends with one
+and no empty line is inside.
 
-Known texts are a table (licence, text), by default the short ones below. Their digests are counted
+Known texts are a table (licence, text), by default the short ones below and the files in `known`,
+with and without a usual title, and up to the end of their terms. Their digests are counted
 first; up to KNOWN_ROWS of them are broadcast, a larger registry is refused.
 
 A null text is empty, and an empty text (or one of copyright lines alone) has no licence. Two known
@@ -16,6 +19,9 @@ their result; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import defaultdict
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +32,8 @@ from concord.llm import words as W
 from concord.llm.frames import fields, picked, table
 
 KNOWN_ROWS = 100_000
+#: Most words of a notice that is looked for over several lines.
+NOTICE_WORDS = 24
 
 # Spellings that count as equal, each with the one used.
 SPELLINGS = {
@@ -114,12 +122,38 @@ NOTICES = {
     "CC-BY-NC-4.0": ("CC BY-NC 4.0",),
     "CC0-1.0": ("CC0 1.0",),
 }
+# Whole headers, and lines above a text.
+HEADERS = {
+    "Apache-2.0": (
+        'Licensed under the Apache License, Version 2.0 (the "License");',
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
+    ),
+    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+}
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'),
+    "WTFPL": (
+        """DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE
+Version 2, December 2004
+Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is
+allowed as long as the name is changed.""",
+    ),
+}
+END = "END OF TERMS AND CONDITIONS"
 OPENINGS = ("Licensed under", "Released under", "This work is licensed under", "SPDX-License-Identifier:")
 
 
 def known_texts(spark: SparkSession) -> DataFrame:
-    """(licence, text): the licences above, and a notice for each opening and name."""
-    rows = list(LICENCES.items()) + [(k, f"{o} {name}.") for k, names in NOTICES.items() for name in names for o in OPENINGS]
+    """(licence, text): whole texts, and headers and a notice for each opening and name."""
+    rows = list(LICENCES.items()) + [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "known").glob("*.txt"))]
+    rows += [(k, text[: text.index(END) + len(END)]) for k, text in rows if END in text]
+    rows += [(k, f"{title}\n\n{text}") for k, text in rows for title in TITLES.get(k, ())]
+    rows += [(k, header) for k, headers in HEADERS.items() for header in headers]
+    rows += [(k, f"{o} {name}.") for k, names in NOTICES.items() for name in names for o in OPENINGS]
     return spark.createDataFrame(rows, "licence string, text string")
 
 
@@ -164,8 +198,11 @@ def text_digests(found: W.Words) -> np.ndarray:
     return _digests(hashes[stay], kept[found.first])
 
 
-def statement_digests(found: W.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Digest and text number of each statement: words up to a line break, or a full stop, ! or ? before a space."""
+def statement_digests(found: W.Words, sizes: dict[int, set[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Digest and text number of each statement: words up to a line break, or a full stop, ! or ? before a space.
+
+    sizes: lengths of notices by the hash of their first word; statements put together that agree in both follow.
+    """
     hashes, stay = canonical(found)
     data = found.data
     stop = (data == ord(".")) | (data == ord("!")) | (data == ord("?"))
@@ -176,14 +213,30 @@ def statement_digests(found: W.Words) -> tuple[np.ndarray, np.ndarray]:
     if not len(hashes):
         return np.zeros((0, 2), np.uint64), owner
     heads = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])]))
-    return _digests(hashes, np.concatenate([heads, [len(hashes)]])), owner[heads]
+    ends = np.concatenate([heads[1:], [len(hashes)]])
+    joined, owners = [], []
+    for k in np.flatnonzero(np.isin(hashes[heads], np.array(list(sizes), np.uint64))).tolist():
+        wanted, e = sizes[int(hashes[heads[k]])], k + 1
+        longest = max(wanted)
+        while e < len(heads) and owner[heads[e]] == owner[heads[k]] and part[heads[e]] == part[heads[e - 1]] + 1 and ends[e] - heads[k] <= longest:
+            if int(ends[e] - heads[k]) in wanted:
+                joined.append(hashes[heads[k] : ends[e]])
+                owners.append(owner[heads[k]])
+            e += 1
+    digests = _digests(hashes, np.concatenate([heads, [len(hashes)]]))
+    if joined:
+        more = _digests(np.concatenate(joined), np.cumsum([0, *map(len, joined)]))
+        return np.concatenate([digests, more]), np.concatenate([owner[heads], np.array(owners)])
+    return digests, owner[heads]
 
 
 def _hex(digests: np.ndarray) -> pa.Array:
     return pa.array([f"{a:016x}{b:016x}" if a or b else None for a, b in digests.tolist()], pa.string())
 
 
-def with_digests(texts: DataFrame, names: list[str], notices: dict[str, str] | None) -> DataFrame:
+def with_digests(
+    texts: DataFrame, names: list[str], notices: dict[str, str] | None, sizes: dict[int, set[int]] | None = None
+) -> DataFrame:
     """The named columns, the digest of each text (null without words), and the licences its statements name."""
     schema = T.StructType(
         [*fields(texts, names), T.StructField("digest", T.StringType()), T.StructField("notices", T.ArrayType(T.StringType()))]
@@ -197,7 +250,7 @@ def with_digests(texts: DataFrame, names: list[str], notices: dict[str, str] | N
                 found = W.split(data, offsets)
                 lists: list[set[str]] = [set() for _ in range(j - i)]
                 if known:
-                    digests, owner = statement_digests(found)
+                    digests, owner = statement_digests(found, sizes or {})
                     hits = np.flatnonzero(np.isin(digests[:, 0], firsts))
                     for k in hits:
                         name = known.get(f"{int(digests[k, 0]):016x}{int(digests[k, 1]):016x}")
@@ -212,6 +265,24 @@ def with_digests(texts: DataFrame, names: list[str], notices: dict[str, str] | N
     return texts.select(*names, "text").mapInArrow(run, schema)
 
 
+def heads_and_sizes(known: DataFrame) -> DataFrame:
+    """First word and number of words of each known text of up to NOTICE_WORDS words."""
+
+    def run(batches):
+        for b in batches:
+            for _, _, data, offsets in W.blocks(b["text"]):
+                found = W.split(data, offsets)
+                hashes, stay = canonical(found)
+                kept = np.concatenate([[0], np.cumsum(stay)])[found.first]
+                size = np.diff(kept)
+                short = (size > 0) & (size <= NOTICE_WORDS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[stay][kept[:-1][short]].view(np.int64)), pa.array(size[short])], names=["head", "size"]
+                )
+
+    return known.select("text").mapInArrow(run, "head long, size long")
+
+
 def find_licences(
     docs: DataFrame, known: DataFrame | None = None, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -224,8 +295,11 @@ def find_licences(
     notices = {r["digest"]: r["licence"] for r in digests.limit(KNOWN_ROWS + 1).collect()}
     if len(notices) > KNOWN_ROWS:
         raise ValueError(f"more than {KNOWN_ROWS} known texts")
+    sizes = defaultdict(set)
+    for head, size in heads_and_sizes(known).distinct().collect():
+        sizes[head & (1 << 64) - 1].add(size)
     lookup = docs.sparkSession.createDataFrame(list(notices.items()), "digest string, licence string")
-    found = with_digests(docs, ["doc_id"], notices).join(F.broadcast(lookup), "digest", "left")
+    found = with_digests(docs, ["doc_id"], notices, dict(sizes)).join(F.broadcast(lookup), "digest", "left")
     return found.select("doc_id", "digest", "licence", "notices")
 
 

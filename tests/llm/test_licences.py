@@ -20,6 +20,24 @@ def test_texts_and_notices(docs):
     assert licences.find_licences(docs(rows)).count() == len(rows)
 
 
+def test_files_and_headers(docs):
+    apache = (licences.Path(licences.__file__).parent / "known" / "Apache-2.0.txt").read_text()
+    header = """# Copyright 2020 Me
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+"""
+    rows = [
+        (1, "MIT License\n\nCopyright (c) 2020 Me\n\n" + MIT), (2, "ISC License\n\n" + licences.LICENCES["ISC"]), (3, apache),
+        (4, apache[: apache.index("APPENDIX")]), (5, "text\nLicensed under the Apache License,\nVersion 2.0\nmore"), (6, "text\n\n" + header),
+        (7, "// Licensed\n// under the MPL\n\n// Licensed under the Mozilla Public License, v. 2.0."), (8, "text\n\nReleased under\n\nthe MIT License."),
+    ]
+    got = {(r.doc_id, r.licence, tuple(r.notices)) for r in licences.find_licences(docs(rows)).collect()}
+    whole = {(d, k) for d, k, _ in got}
+    assert whole == {(1, "MIT"), (2, "ISC"), (3, "Apache-2.0"), (4, "Apache-2.0"), (5, None), (6, None), (7, None), (8, None)}
+    assert {(d, n) for d, k, n in got if k is None} == {(5, ("Apache-2.0",)), (6, ("Apache-2.0",)), (7, ("MPL-2.0",)), (8, ())}
+
+
 def test_own_registry_with_ties(spark, docs):
     known = spark.createDataFrame([("b", "Some terms!"), ("a", "some TERMS"), ("c", "")], "licence string, text string")
     got = licences.find_licences(docs([(1, "SOME, terms."), (2, "")]), known).collect()
