@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concord.llm import chat, decontaminate, exact, licences, mixing, near, passages, secrets, tokens, toxicity
+from concord.llm import chat, decontaminate, exact, licences, mixing, near, packing, passages, secrets, tokens, toxicity
 from concord.llm.frames import shipped
 
 _QUERIES = {
@@ -16,6 +16,7 @@ _QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_exact_dedup": exact.op9_exact_dedup,
     "op10_licences": licences.op10_licences,
+    "op13_packing": packing.op13_packing,
 }
 
 QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}

@@ -70,8 +70,8 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word, with A-Z as a-z."""
+    def hashes(self, fold: np.ndarray = LOWER) -> np.ndarray:
+        """A 64-bit hash of each word, with A-Z as a-z unless another table of bytes is given."""
         n = len(self.starts)
         out = np.empty(n, dtype=np.uint64)
         i = 0
@@ -80,7 +80,7 @@ class Words:
             a, z = int(self.starts[i]), int(self.ends[j - 1])
             power, inverse = _powers(z - a + 1)
             sums = np.zeros(z - a + 1, dtype=np.uint64)
-            np.cumsum(_BYTE[LOWER[self.data[a:z]]] * power[: z - a], out=sums[1:])
+            np.cumsum(_BYTE[fold[self.data[a:z]]] * power[: z - a], out=sums[1:])
             s, e = self.starts[i:j] - a, self.ends[i:j] - a
             out[i:j] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
             i = j

@@ -35,7 +35,12 @@ def test_query_and_sql(spark, name):
 def test_query_without_sql(spark, name):
     got = registry.QUERIES[name](spark, SMALL)
     documents = table(spark, SMALL, "documents").count()
-    assert 0 < got.count() < documents if name == "op7_substring_dedup" else got.count() == documents
+    if name == "op7_substring_dedup":
+        assert 0 < got.count() < documents
+    elif name == "op13_packing":
+        assert got.count() >= documents
+    else:
+        assert got.count() == documents
     assert not any(kind == "void" for _, kind in got.dtypes)
 
 
