@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concord.llm import chat, decontaminate, exact, licences, mixing, near, packing, passages, secrets, tokens, toxicity
+from concord.llm import chat, decontaminate, exact, licences, mixing, near, negatives, packing, passages, secrets, tokens, toxicity
 from concord.llm.frames import shipped
 
 _QUERIES = {
@@ -16,6 +16,7 @@ _QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_exact_dedup": exact.op9_exact_dedup,
     "op10_licences": licences.op10_licences,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
     "op13_packing": packing.op13_packing,
 }
 
@@ -27,4 +28,5 @@ ORACLES = {
     "op5_chat": chat.OP5_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op9_exact_dedup": exact.OP9_SQL,
+    "op11_hard_negatives": negatives.OP11_SQL,
 }

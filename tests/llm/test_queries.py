@@ -21,7 +21,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_query_and_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations", "labels"):
+    for t in ("documents", "benchmark", "conversations", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     want = con.sql(registry.ORACLES[name])
     got = registry.QUERIES[name](spark, SMALL)
