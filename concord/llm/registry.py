@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concord.llm import chat, decontaminate, exact, licences, mixing, near, negatives, packing, passages, secrets, tokens, toxicity
+from concord.llm import chat, decontaminate, exact, licences, mixing, near, negatives, packing, passages, secrets, spelling, tokens, toxicity
 from concord.llm.frames import shipped
 
 _QUERIES = {
@@ -17,6 +17,7 @@ _QUERIES = {
     "op9_exact_dedup": exact.op9_exact_dedup,
     "op10_licences": licences.op10_licences,
     "op11_hard_negatives": negatives.op11_hard_negatives,
+    "op12_spelling": spelling.op12_spelling,
     "op13_packing": packing.op13_packing,
 }
 
@@ -29,4 +30,5 @@ ORACLES = {
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op9_exact_dedup": exact.OP9_SQL,
     "op11_hard_negatives": negatives.OP11_SQL,
+    "op12_spelling": spelling.OP12_SQL,
 }
