@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.operators.joins import attach
-from concord.operators.keyed import keep_first, share_of_total
+from concord.operators.keyed import keep_first, share_of_total, source_ordinal
+from concord.session import checkpointed
 from concord.sources.headers import normalize_headers, require_columns
 
 # The label of an unknown source, and the column contracts.
@@ -73,6 +74,11 @@ def list_coverage(
     if restrict_to_candidates:  # after the distinct step, an item has one row per source
         supplied = supplied.join(_candidate_items(candidates), list(CANDIDATE_COLUMNS), "left_semi")
     covered = supplied.groupBy("list_id", "source_name").agg(F.count(F.lit(1)).alias("covered_items"))
+    return _with_totals(candidates, covered)
+
+
+def _with_totals(candidates: DataFrame, covered: DataFrame) -> DataFrame:
+    """Covered items by list and source against the list's candidate items; lists without any stay."""
     coverage = F.coalesce(F.try_divide("covered_items", "candidate_items"), F.lit(0.0))
     return (
         candidate_totals(candidates)
@@ -87,6 +93,59 @@ def list_coverage(
     )
 
 
+# Batches --------------------------------------------------------------------------------
+
+ITEM = "item_id"
+#: The number of a missing item; other items are numbered from 1.
+MISSING_ITEM = 0
+
+
+def number_items(observed: DataFrame, folder: str) -> DataFrame:
+    """(item_id, number) of all items seen so far, those new in these rows numbered after the others.
+
+    The dictionary is a folder of tables, one for each time that new items came.
+    """
+    spark = observed.sparkSession
+    kept = f"{folder}/items"
+    schema = "item_id string, number bigint"
+    # The folder has a table from the start, so that it can be read.
+    spark.createDataFrame([], schema).write.mode("append").parquet(kept)
+    known = checkpointed(spark.read.schema(schema).parquet(kept))
+    items = observed.select(ITEM).where(F.col(ITEM).isNotNull()).distinct()
+    new = source_ordinal(items.join(known.select(ITEM), ITEM, "left_anti"), ITEM, "number")
+    highest = known.agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
+    added = new.select(ITEM, (F.col("number") + highest).cast("bigint").alias("number"))
+    added.write.mode("append").parquet(kept)
+    return spark.read.schema(schema).parquet(kept)
+
+
+def add_batch(observed: DataFrame, folder: str, batch: str) -> None:
+    """Store the items of a batch of observed rows as bitmaps by list and source name.
+
+    A bitmap has the items of one range of 32,768 numbers. A batch that is loaded again replaces
+    what it was.
+    """
+    require_columns(observed.columns, (*OBSERVED_COLUMNS, "source_name"), "observed records")
+    named = observed.where(F.col("list_id").isNotNull() & F.col("source_name").isNotNull())
+    named = checkpointed(named.select("list_id", ITEM, "source_name").distinct())
+    numbers = number_items(named, folder)
+    number = F.coalesce("number", F.lit(MISSING_ITEM))
+    bits = (
+        attach(named, numbers, ITEM, written=True)
+        .groupBy("list_id", "source_name", F.bitmap_bucket_number(number).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits"))
+    )
+    bits.write.mode("overwrite").parquet(f"{folder}/bitmaps/batch={batch}")
+
+
+def batch_coverage(spark: SparkSession, candidates: DataFrame, folder: str) -> DataFrame:
+    """list_coverage of all batches loaded so far: bitmaps are combined, no observed row is read again."""
+    bits = spark.read.parquet(f"{folder}/bitmaps")
+    combined = bits.groupBy("list_id", "source_name", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    covered = combined.groupBy("list_id", "source_name").agg(F.sum(F.bitmap_count("bits")).alias("covered_items"))
+    return _with_totals(candidates, covered)
+
+
 def summarize_coverage(coverage: DataFrame) -> DataFrame:
     """Lists, mean coverage and item-weighted coverage per source.
 

@@ -10,6 +10,7 @@ from concord.operators.compare import FIELD_STATUSES, agreement, compare_fields
 from concord.operators.joins import attach
 from concord.session import checkpointed
 from concord.sources.headers import require_columns
+from concord.sources.sinks import save_bucketed
 
 # The compared fields, the column contracts and the label of a missing stage.
 FIELDS = ("manufacturer", "article", "typecode")
@@ -88,20 +89,18 @@ def build_lineage(
     compared before the joins, which they do not depend on: together with the joins they
     would make one generated method too large to be compiled.
     """
-    require_columns(research.columns, RESEARCH_COLUMNS, "research rows")
-    require_columns(imports.columns, IMPORT_COLUMNS, "imports")
-    lines = _with_keys(compare_identifiers(research)).withColumn(
-        "research_returned", normalize_bool(F.col("research_returned"))
-    )
-    named = imports.select(*IMPORT_COLUMNS).where(has_identifier(F.col("material_reference")))
-    imported = _with_keys(named).distinct().withColumn("imported", F.lit(True))
-    counts = ("n_candidates", "n_positive", "n_negative")
+    lines, imported = research_lines(research), imported_materials(imports)
+    return _joined(lines, checkpointed(collapse_candidates(matching)) if pairs is None else pairs, imported)
+
+
+def _joined(lines: DataFrame, pairs: DataFrame, imported: DataFrame) -> DataFrame:
+    """Lines with the counts of their pair and whether their material was imported; pairs are a stored table."""
     zero = F.lit(0).cast("bigint")
-    joined = attach(lines, checkpointed(collapse_candidates(matching)) if pairs is None else pairs, PAIR, written=True)
-    joined = attach(joined, imported, IMPORT_COLUMNS[0])
+    joined = attach(lines, pairs, PAIR, written=True)
+    joined = attach(joined, imported.withColumn("imported", F.lit(True)), IMPORT_COLUMNS[0])
     return joined.withColumns(
         {
-            **{c: F.coalesce(F.col(c), zero) for c in counts},
+            **{c: F.coalesce(F.col(c), zero) for c in ("n_candidates", "n_positive", "n_negative")},
             "in_matching": F.col("match_status").isNotNull(),
             "match_status": F.coalesce("match_status", F.lit(NO_MATCHING_ROW)),
             "imported": F.coalesce("imported", F.lit(False)),
@@ -169,3 +168,35 @@ def lineage_tables(
         "identifier_summary": identifier_summary(rows),
         "coverage_summary": coverage_summary(rows, pairs),
     }
+
+
+# Saved tables ---------------------------------------------------------------------------
+
+
+def research_lines(research: DataFrame) -> DataFrame:
+    """The submitted lines with compared fields and normalised keys, as build_lineage joins them."""
+    require_columns(research.columns, RESEARCH_COLUMNS, "research rows")
+    lines = _with_keys(compare_identifiers(research))
+    return lines.withColumn("research_returned", normalize_bool(F.col("research_returned")))
+
+
+def imported_materials(imports: DataFrame) -> DataFrame:
+    """Distinct material references of the imports."""
+    require_columns(imports.columns, IMPORT_COLUMNS, "imports")
+    named = imports.select(*IMPORT_COLUMNS).where(has_identifier(F.col("material_reference")))
+    return _with_keys(named).distinct()
+
+
+def save_lineage_inputs(
+    research: DataFrame, matching: DataFrame, prefix: str, folder: str, buckets: int = 200
+) -> dict[str, DataFrame]:
+    """Save lines and collapsed pairs bucketed by list and material, so that later runs join them in place."""
+    tables = {"lines": research_lines(research), "pairs": collapse_candidates(matching)}
+    return {
+        name: save_bucketed(df, f"{prefix}_{name}", PAIR, buckets, f"{folder}/{name}") for name, df in tables.items()
+    }
+
+
+def lineage_from_tables(lines: DataFrame, pairs: DataFrame, imports: DataFrame) -> DataFrame:
+    """build_lineage on saved tables: lines and pairs are joined bucket by bucket, without an exchange."""
+    return _joined(lines, pairs, imported_materials(imports))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from concord.functions.text import canonical_key, loose_key
 from concord.operators.joins import attach
-from concord.operators.keyed import keep_last, keep_none, repeated_rows
+from concord.operators.keyed import keep_last, keep_none, maybe_repeated, repeated_rows
 from concord.session import checkpointed
 
 MASTER_COLUMNS = ("canonical_manufacturer_name", "region", "parent_manufacturer_id", "manufacturer_status")
@@ -173,6 +173,17 @@ def near_duplicates(
     return repeated_rows(df, keys, row_id)
 
 
+def compared_share(
+    df: DataFrame, columns: Sequence[str], key: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """Rows, rows whose keys are compared in whole to find near duplicates, and their share, in one row."""
+    keys = [key(F.col(c)) if key else F.col(c) for c in columns]
+    maybe = maybe_repeated(df.select(*columns), keys).select(F.lit(0).alias("r"), F.lit(1).alias("c"))
+    both = df.select(F.lit(1).alias("r"), F.lit(0).alias("c")).unionAll(maybe)
+    counts = both.agg(F.coalesce(F.sum("r"), F.lit(0)).alias("rows"), F.coalesce(F.sum("c"), F.lit(0)).alias("compared_rows"))
+    return counts.withColumn("share", F.coalesce(F.try_divide(F.col("compared_rows"), F.col("rows")), F.lit(0.0)))
+
+
 def duplicate_counts(df: DataFrame, keys: Sequence[str], near: Sequence[str]) -> DataFrame:
     """Rows before and after the duplicate rules, rows removed, and near-duplicate rows.
 
@@ -207,18 +218,18 @@ def duplicate_groups(
     Columns are compared after ``key``. The first row of a group is kept and names it; the
     reason tells whether a dropped row repeats that row's text or only its normalised form.
     """
-    parts = {f"_k{i}": key(F.col(c)) for i, c in enumerate(columns)}
     raw = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    rows = df.select(F.col(row_id), *columns, raw.alias("_raw")).withColumns(parts)
+    rows = df.select(F.col(row_id), *columns, raw.alias("_raw"))
+    rows = maybe_repeated(rows, [key(F.col(c)) for c in columns]).select(row_id, "_raw", "_key")
     groups = (
-        rows.groupBy(*parts)
+        rows.groupBy("_key")
         .agg(
             F.count(F.lit(1)).alias("group_size"),
             F.min(F.struct(F.col(row_id).alias("id"), F.col("_raw").alias("raw"))).alias("_first"),
         )
         .where("group_size > 1")
     )
-    members = attach(rows, groups, list(parts), "inner")
+    members = attach(rows, groups, "_key", "inner")
     kept = F.col(row_id) == F.col("_first.id")
     same = F.col("_raw").eqNullSafe(F.col("_first.raw"))
     return members.select(

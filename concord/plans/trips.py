@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.sources.sinks import write_parquet, write_tables
+from concord.sources.sinks import replace_partitions, write_parquet, write_tables
 
 # The accepted trip length in seconds and the reporting month.
 SECONDS = (60, 10800)
@@ -141,3 +141,58 @@ def write_marts(trips: DataFrame, folder: str, **window: str) -> dict[str, DataF
     tables = {name: df for name, df in marts(stored).items() if name != "trips_clean"}
     write_tables(tables, folder, write_parquet)
     return {name: spark.read.parquet(f"{folder}/{name}") for name in marts(stored)}
+
+
+# Increments -----------------------------------------------------------------------------
+
+CELL = ("trip_date", "hour_of_day", "pickup_community_area", "is_weekend")
+_SUMS = {"revenue": "total_amount", "fare": "fare", "miles": "trip_miles", "seconds": "trip_seconds"}
+
+
+def day_sums(clean: DataFrame) -> DataFrame:
+    """Counts and sums by day, hour and area, from which every mart can be added up."""
+    sums = [F.sum(c).alias(f"{name}_sum") for name, c in _SUMS.items()]
+    return clean.groupBy(*CELL).agg(F.count(F.lit(1)).alias("trips"), *sums)
+
+
+def load_days(trips: DataFrame, folder: str, first_day: str, last_day: str) -> None:
+    """Load some days, both included, into the stored trips and sums; all other days stay as they are.
+
+    Days of the window that have no usable trip (any more) are removed.
+    """
+    spark = trips.sparkSession
+    days = [r[0] for r in spark.sql(
+        f"SELECT CAST(explode(sequence(DATE '{first_day}', DATE '{last_day}')) AS STRING)"
+    ).collect()]
+    clean = clean_trips(trips, first_day, last_day)
+    replace_partitions(clean, f"{folder}/trips_clean", "trip_date", days)
+    stored = spark.read.parquet(f"{folder}/trips_clean").select(*clean.columns)
+    loaded = stored.where(F.col("trip_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
+    replace_partitions(day_sums(loaded), f"{folder}/day_sums", "trip_date", days)
+
+
+def merged_marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The marts of all days loaded so far, added up from the stored sums; no trip is read."""
+    cells = spark.read.schema(
+        "hour_of_day int, pickup_community_area bigint, is_weekend boolean, trips bigint, "
+        "revenue_sum double, fare_sum double, miles_sum double, seconds_sum bigint, trip_date date"
+    ).parquet(f"{folder}/day_sums")
+
+    def mean(name: str, column: str):
+        return (F.sum(f"{name}_sum") / F.sum("trips")).alias(column)
+
+    count, revenue = F.sum("trips").alias("trip_count"), F.sum("revenue_sum").alias("total_revenue")
+    fare, miles = mean("fare", "avg_fare"), mean("miles", "avg_trip_miles")
+
+    def on(weekend: bool):
+        return F.coalesce(F.sum(F.when(F.col("is_weekend") == weekend, F.col("trips"))), F.lit(0).cast("bigint"))
+
+    return {
+        "daily_metrics": cells.groupBy("trip_date").agg(
+            count, revenue, fare, miles, mean("seconds", "avg_trip_seconds"),
+            on(True).alias("weekend_trips"), on(False).alias("weekday_trips"),
+        ),
+        "hourly_demand": cells.groupBy("trip_date", "hour_of_day").agg(count, revenue, fare),
+        "zone_performance": cells.where(F.col("pickup_community_area").isNotNull())
+        .groupBy("pickup_community_area").agg(count, revenue, fare, miles),
+    }

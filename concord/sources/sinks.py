@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,30 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) ->
         df.write.mode("overwrite").parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: str, values: Iterable[str]) -> None:
+    """Replace the partitions of the given values by the rows, which have no other; all others stay.
+
+    Partitions that get rows are overwritten by the writer, those that get none are removed after it.
+    """
+    df.hint("rebalance", partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        partition_by
+    ).parquet(path)
+    spark = df.sparkSession
+    written = {r[0] for r in df.select(F.col(partition_by).cast("string")).distinct().collect()}
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for value in values:
+        if value not in written:
+            gone = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_by}={value}")
+            gone.getFileSystem(conf).delete(gone, True)
+
+
+def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Replace a catalog table, bucketed and sorted by keys: joins on all of them need no exchange."""
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Overwrite a CSV table with a header; quotes are doubled as in RFC 4180."""
     df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
