@@ -6,14 +6,17 @@ in which partitions are added.
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.views import view
 from concord.functions.dates import format_date, parse_date, parse_date_text
-from concord.functions.numbers import normalize_id_key, to_int
-from concord.functions.text import canonical_key, loose_key, normalize_identifier, repair_text
-from concord.operators.keyed import source_ordinal
+from concord.functions.numbers import with_counts, with_id_keys
+from concord.functions.text import canonical_key, loose_key, repair_text, with_identifiers
+from concord.operators.compare import arrow_matcher
+from concord.operators.keyed import keep_first, source_ordinal
 from concord.plans import cleaning, coverage, lineage, priority, quality, trips
 from concord.session import checkpointed, shared_folder
 from concord.sources import folders, headers, sinks
@@ -55,6 +58,13 @@ def source_preview(spark, sf):
     return folders.preview(view(spark, sf, "v_trips"))
 
 
+def csv_preview(spark, sf):
+    """The preview of the customers written as CSV, with the types that are inferred."""
+    folder = shared_folder(spark)
+    sinks.write_csv(view(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), folder)
+    return folders.preview_csv(spark, folder)
+
+
 def source_sample(spark, sf):
     return rounded(folders.sample_rows(view(spark, sf, "v_trips"), "trip_id"))
 
@@ -65,6 +75,22 @@ def mart_roundtrip(spark, sf):
     return rounded(tables["daily_metrics"], 4)
 
 
+def _increments(spark, sf):
+    """Two halves of the month loaded one after the other, then one day of each again."""
+    raw, folder = view(spark, sf, "v_trips"), shared_folder(spark)
+    for first, last in (("2024-01-16", "2024-01-31"), ("2024-01-01", "2024-01-15"), ("2024-01-20", "2024-01-20"), ("2024-01-03", "2024-01-03")):
+        trips.load_days(raw, folder, first, last)
+    return trips.merged_marts(spark, folder)
+
+
+def mart_increment(spark, sf):
+    return rounded(_increments(spark, sf)["daily_metrics"], 4)
+
+
+def mart_increment_zones(spark, sf):
+    return rounded(_increments(spark, sf)["zone_performance"], 4)
+
+
 def mart_table(spark, sf):
     """The hourly mart after saving it as a catalog table."""
     sinks.save_table(trips.hourly_demand(_clean(spark, sf)), "concord_hourly_demand", shared_folder(spark))
@@ -83,8 +109,10 @@ def _dim(spark, sf):
     return checkpointed(priority.supplier_dim(view(spark, sf, "v_supplier_ref"), view(spark, sf, "v_rules")))
 
 
-def _aliases(spark, sf):
-    return priority.alias_table(_dim(spark, sf))
+def _names(spark, sf):
+    """The dimension and its aliases, each written once."""
+    dim = _dim(spark, sf)
+    return dim, checkpointed(priority.alias_table(dim))
 
 
 def _entities(spark, sf):
@@ -112,9 +140,7 @@ def entity_map(spark, sf):
 
 
 def unmatched_by_entity(spark, sf):
-    dim = _dim(spark, sf)
-    unmatched = view(spark, sf, "v_unmatched")
-    return priority.unmatched_rows(unmatched, dim, priority.alias_table(dim), _entities(spark, sf))
+    return priority.unmatched_rows(view(spark, sf, "v_unmatched"), *_names(spark, sf), _entities(spark, sf))
 
 
 def matched_by_entity(spark, sf):
@@ -122,12 +148,11 @@ def matched_by_entity(spark, sf):
 
 
 def products_max(spark, sf):
-    dim = _dim(spark, sf)
-    return priority.products_in_db(view(spark, sf, "v_products"), dim, priority.alias_table(dim))
+    return priority.products_in_db(view(spark, sf, "v_products"), *_names(spark, sf))
 
 
 def unmapped_suppliers(spark, sf):
-    return priority.unmapped_suppliers(view(spark, sf, "v_products"), _aliases(spark, sf))
+    return priority.unmapped_suppliers(view(spark, sf, "v_products"), _names(spark, sf)[1])
 
 
 def unmapped_diagnostics(spark, sf):
@@ -141,8 +166,7 @@ def unmapped_diagnostics(spark, sf):
 
 
 def latest_dataset(spark, sf):
-    dim = _dim(spark, sf)
-    return priority.latest_dataset(view(spark, sf, "v_datasets"), dim, priority.alias_table(dim))
+    return priority.latest_dataset(view(spark, sf, "v_datasets"), *_names(spark, sf))
 
 
 def matched_at_latest(spark, sf):
@@ -159,9 +183,8 @@ def supplier_kpis(spark, sf):
 
 
 def _long(spark, sf):
-    dim = _dim(spark, sf)
     unmatched, matched = view(spark, sf, "v_unmatched"), view(spark, sf, "v_matched")
-    return priority.report_long(unmatched, matched, dim, priority.alias_table(dim), _entities(spark, sf))
+    return priority.report_long(unmatched, matched, *_names(spark, sf), _entities(spark, sf))
 
 
 def report_long(spark, sf):
@@ -193,6 +216,7 @@ def report_from_folders(spark, sf):
     for i, (kind, names) in enumerate(RAW_HEADERS.items()):
         frame = view(spark, sf, f"v_{kind}")
         ordered = frame.orderBy("ord") if "ord" in frame.columns else frame
+        ordered = ordered.coalesce(1) if kind == "prev" else ordered  # the prior report is one file
         cells = [F.col(role).cast("string").alias(raw) for role, raw in names.items()]
         form = folders.FORMATS[i % len(folders.FORMATS)]
         options = {"header": True, "quote": '"', "escape": '"'} if form == "csv" else {"ignoreNullFields": False}
@@ -211,8 +235,17 @@ def report_percent(spark, sf):
 
 
 def report_columns(spark, sf):
+    entities = _entities(spark, sf)
     matched_at = priority.matched_at_latest(view(spark, sf, "v_match_ts"))
-    return priority.report_columns(_entities(spark, sf), matched_at, _long(spark, sf))
+    unmatched, matched = view(spark, sf, "v_unmatched"), view(spark, sf, "v_matched")
+    long = priority.report_long(unmatched, matched, *_names(spark, sf), entities)
+    return priority.report_columns(entities, matched_at, long)
+
+
+def report_without_optional_inputs(spark, sf):
+    """The key figures when rules, datasets, match dates and the prior report are absent."""
+    inputs = {k: v for k, v in _inputs(spark, sf).items() if k not in ("rules", "datasets", "match_ts", "prev")}
+    return rounded(priority.build_report(inputs)["kpis"])
 
 
 # Catalog quality ------------------------------------------------------------------------
@@ -261,6 +294,28 @@ def catalog_keep_none(spark, sf):
     return quality.remove_duplicates(_feed(spark, sf), PART_KEY)
 
 
+def first_orders(spark, sf):
+    """Each customer's first order, whole rows; only keys and places are shuffled to find it."""
+    return keep_first(view(spark, sf, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"], wide=True).select(
+        "o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus"
+    )
+
+
+def near_duplicates_compared(spark, sf):
+    """How many rows have to be compared to find the near duplicates; the others are certainly alone."""
+    return rounded(quality.compared_share(view(spark, sf, "v_catalog"), PART_KEY, key=loose_key))
+
+
+def fk_from_tables(spark, sf):
+    """fk_enriched on a catalog and a master that are saved bucketed by the manufacturer."""
+    root = shared_folder(spark)
+    saved = [
+        sinks.save_bucketed(view(spark, sf, f"v_{name}"), f"concord_{name}", ["manufacturer_id"], 4, f"{root}/{name}")
+        for name in ("catalog", "master")
+    ]
+    return quality.enrich(*saved, stored=True)
+
+
 def duplicate_counts(spark, sf):
     return quality.duplicate_counts(view(spark, sf, "v_catalog"), PART_KEY, PART_KEY)
 
@@ -328,6 +383,16 @@ def unmatched_rate(spark, sf):
     return rounded(coverage.unmatched_source_rate(_annotated(spark, sf)))
 
 
+def coverage_by_batches(spark, sf):
+    """The coverage of three batches loaded one after the other, the second one twice."""
+    folder, observed = shared_folder(spark), _annotated(spark, sf)
+    part = F.pmod(F.xxhash64("list_id", "item_id", "source_id"), F.lit(3))
+    dealt = checkpointed(observed.withColumn("part", part))
+    for batch in (0, 1, 2, 1):
+        coverage.add_batch(dealt.where(F.col("part") == batch), folder, f"b{batch}")
+    return rounded(coverage.batch_coverage(spark, view(spark, sf, "v_candidates"), folder))
+
+
 def coverage_from_folders(spark, sf):
     """The coverage of CSV batches read from a folder, as the whole run gives it."""
     folder = shared_folder(spark)
@@ -375,11 +440,10 @@ def catalog_filled(spark, sf):
 
 
 def mapping_from_json(spark, sf):
-    """The reviewed names as a JSON object, read back as rows."""
+    """The name of every part and its brand as JSON objects, one a line, read back as rows."""
     folder = shared_folder(spark)
-    pairs = F.map_from_entries(F.collect_list(F.struct("name_key", "mapped")))
-    view(spark, sf, "v_mapping").agg(F.to_json(pairs).alias("value")).write.text(folder)
-    return folders.read_mapping(spark, folder)
+    view(spark, sf, "v_part_mapping").select(F.to_json(F.create_map("name_key", "mapped")).alias("value")).write.text(folder)
+    return folders.read_mapping(spark, folder, records=True)
 
 
 def catalog_roles(spark, sf):
@@ -430,6 +494,25 @@ def identifier_matcher(spark, sf):
     return rows.groupBy(*[f"{f}_match" for f in lineage.FIELDS]).agg(F.count(F.lit(1)).alias("lines"))
 
 
+def _alike(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Two shared letters at the start, as identifier_matcher has it."""
+    starts = [pc.utf8_slice_codeunits(pc.utf8_lower(pc.utf8_trim(side, " ")), 0, 2) for side in (left, right)]
+    return pc.equal(*starts)
+
+
+def identifier_matcher_arrow(spark, sf):
+    """identifier_matcher with the predicate over Arrow arrays."""
+    rows = lineage.compare_identifiers(view(spark, sf, "v_research"), arrow_matcher(_alike))
+    return rows.groupBy(*[f"{f}_match" for f in lineage.FIELDS]).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def lineage_from_tables(spark, sf):
+    """The lineage rows from lines and pairs that are saved bucketed by their key."""
+    research, matching, imports = (view(spark, sf, f"v_{n}") for n in ("research", "matching", "imports"))
+    saved = lineage.save_lineage_inputs(research, matching, "concord_lineage", shared_folder(spark), 4)
+    return lineage.lineage_from_tables(saved["lines"], saved["pairs"], imports)
+
+
 def lineage_summary(spark, sf):
     research, matching, imports = (view(spark, sf, f"v_{n}") for n in ("research", "matching", "imports"))
     return lineage.lineage_tables(research, matching, imports)["coverage_summary"]
@@ -474,14 +557,8 @@ def text_widened(spark, sf):
 
 
 def id_and_int_parse(spark, sf):
-    raw = F.col("raw")
-    return view(spark, sf, "v_id_text").select(
-        "l_orderkey",
-        "l_linenumber",
-        to_int(raw).alias("as_count"),
-        normalize_id_key(raw).alias("as_key"),
-        normalize_identifier(raw).alias("as_identifier"),
-    )
+    parsed = with_id_keys(with_counts(view(spark, sf, "v_id_text"), {"as_count": "raw"}), {"as_key": "raw"})
+    return with_identifiers(parsed, {"as_identifier": "raw"}).drop("raw")
 
 
 def date_parse(spark, sf):
@@ -535,7 +612,10 @@ JOBS = (
     trips_stage_counts,
     source_preview,
     source_sample,
+    csv_preview,
     mart_roundtrip,
+    mart_increment,
+    mart_increment_zones,
     mart_table,
     supplier_dim,
     supplier_dim_excluded,
@@ -556,14 +636,18 @@ JOBS = (
     report_from_folders,
     report_percent,
     report_columns,
+    report_without_optional_inputs,
     name_standardised,
     name_standardised_by_key,
     fk_enriched,
+    fk_from_tables,
     match_rates,
     match_rates_by_key,
     parent_rollup,
     catalog_dedup_full,
     catalog_keep_none,
+    first_orders,
+    near_duplicates_compared,
     duplicate_counts,
     near_duplicates,
     near_duplicate_documents,
@@ -577,6 +661,7 @@ JOBS = (
     coverage_restricted,
     coverage_summary,
     unmatched_rate,
+    coverage_by_batches,
     coverage_from_folders,
     coverage_positions,
     catalog_cleaned,
@@ -591,7 +676,9 @@ JOBS = (
     lineage_rows,
     identifier_status,
     identifier_matcher,
+    identifier_matcher_arrow,
     lineage_summary,
+    lineage_from_tables,
     lineage_from_folders,
     identifier_crosstab,
     text_repair,

@@ -100,6 +100,8 @@ VIEWS = {
         SELECT DISTINCT lower(p_brand) AS name_key,
           CASE WHEN p_brand = 'Brand#13' THEN '' ELSE concat(p_brand, ' Corp') END AS mapped
         FROM part""",
+    "v_part_mapping": """
+        SELECT lower(p_name) AS name_key, min(p_brand) AS mapped FROM part GROUP BY lower(p_name)""",
     "v_master": """
         SELECT DISTINCT CASE WHEN p_size % 10 = 7 THEN p_size + 1000 ELSE p_size END AS manufacturer_id,
           concat('Maker ', CAST(p_size AS STRING)) AS canonical_manufacturer_name,

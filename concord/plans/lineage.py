@@ -141,6 +141,39 @@ def coverage_summary(lineage: DataFrame, pairs: DataFrame) -> DataFrame:
     return long[0].unionByName(long[1])
 
 
+def stage_summary(research: DataFrame, pairs: DataFrame, imports: DataFrame) -> DataFrame:
+    """coverage_summary without the joined lines: lines are counted by pair before anything is joined.
+
+    pairs are the collapsed candidates, a stored table.
+    """
+    require_columns(research.columns, RESEARCH_COLUMNS, "research rows")
+    lines = (
+        _with_keys(research.select(*PAIR, normalize_bool(F.col("research_returned")).alias("back")))
+        .groupBy(*PAIR)
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("back").alias("returned"))
+    )
+    met = lines.join(pairs.select(*PAIR, "match_status"), PAIR, "full_outer")
+    met = attach(met, imported_materials(imports).withColumn("imported", F.lit(True)), IMPORT_COLUMNS[0])
+    status, n = F.col("match_status"), F.coalesce("n", F.lit(0))
+
+    def lines_where(condition):
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0)).cast("bigint")
+
+    counted = met.agg(
+        lines_where(F.lit(True)).alias("research_rows"),
+        F.count_distinct(F.when(n > 0, F.col("material_reference"))).alias("research_distinct_materials"),
+        F.coalesce(F.sum("returned"), F.lit(0)).cast("bigint").alias("research_returned"),
+        lines_where(status.isNotNull()).alias("research_with_matching"),
+        lines_where(status == "green").alias("research_green"),
+        lines_where(status == "yellow").alias("research_yellow"),
+        lines_where(status.isNull()).alias("research_no_matching_row"),
+        lines_where(F.col("imported")).alias("research_imported"),
+        F.count_if((n > 0) & status.isNull()).alias("pairs_in_research_not_matching"),
+        F.count_if(n == 0).alias("pairs_in_matching_not_research"),
+    )
+    return counted.unpivot([], counted.columns, "metric", "value")
+
+
 def identifier_summary(lineage: DataFrame) -> DataFrame:
     """Count of each status per field: five fixed rows, from one pass without a shuffle of rows."""
     counts = lineage.agg(
@@ -160,13 +193,12 @@ def identifier_summary(lineage: DataFrame) -> DataFrame:
 def lineage_tables(
     research: DataFrame, matching: DataFrame, imports: DataFrame
 ) -> dict[str, DataFrame]:
-    """The three result tables by name; pairs and lines are worked out once and written."""
+    """The three result tables by name; only the pairs are read twice, so only they are written."""
     pairs = checkpointed(collapse_candidates(matching))
-    rows = checkpointed(build_lineage(research, matching, imports, pairs))
     return {
-        "throughput": rows,
-        "identifier_summary": identifier_summary(rows),
-        "coverage_summary": coverage_summary(rows, pairs),
+        "throughput": build_lineage(research, matching, imports, pairs),
+        "identifier_summary": identifier_summary(compare_identifiers(research)),
+        "coverage_summary": stage_summary(research, pairs, imports),
     }
 
 

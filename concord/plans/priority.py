@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.functions.dates import format_date, parse_timestamp
-from concord.functions.numbers import normalize_id_key, to_int, to_rate
+from concord.functions.numbers import normalize_id_key, to_int, to_rate, with_id_keys
 from concord.functions.text import canonical_key, is_blank, is_flagged, repair_text, strip
 from concord.operators.joins import attach, attach_many
 from concord.operators.keyed import first_present, keep_first
 from concord.session import checkpointed
-from concord.sources.folders import PANDAS_NULLS, load_inputs
+from concord.sources.folders import PANDAS_NULLS, load_inputs, read_prior_report
 from concord.sources.headers import arrow_header, resolve_column, select_roles
 
 # The header hints of each input role.
@@ -222,6 +222,8 @@ def entity_map(entities: DataFrame) -> DataFrame:
 
 
 # Facts ----------------------------------------------------------------------------------
+# The dimension, the aliases and the entities are stored tables here, so that their sizes are known
+# without a job while a plan is built, and a fact table is read once.
 
 
 def _with_entity(facts: DataFrame, entities: DataFrame) -> DataFrame:
@@ -229,7 +231,7 @@ def _with_entity(facts: DataFrame, entities: DataFrame) -> DataFrame:
     known = entities.where(F.col("client").isNotNull()).select(
         F.col("be_id").alias("splist_id"), "client", "client_key", "be_name", "be_key"
     )
-    return attach_many(facts, known.where("splist_id <> ''"), "splist_id")
+    return attach_many(facts, known.where("splist_id <> ''"), "splist_id", written=True)
 
 
 def unmatched_rows(
@@ -240,13 +242,13 @@ def unmatched_rows(
     Names without an alias keep abbreviation '' and their repaired name as manufacturer.
     """
     named = aliases.where("alias_key <> ''").join(dim.select(*SUPPLIER), "abbr", "left")
-    facts = unmatched.select(
-        normalize_id_key(F.col("splist_id")).alias("splist_id"),
+    facts = with_id_keys(unmatched, {"splist_id": "splist_id"}).select(
+        "splist_id",
         canonical_key(F.col("manu_name")).alias("alias_key"),
         F.coalesce(repair_text(F.col("manu_name")), F.lit("")).alias("repaired"),
         _count(unmatched).alias("cnt"),
     )
-    joined = attach(_with_entity(facts, entities), named, "alias_key")
+    joined = attach(_with_entity(facts, entities), named, "alias_key", written=True)
     return joined.select(
         F.coalesce("abbr", F.lit("")).alias("abbr"),
         F.coalesce("manufacturer", "repaired").alias("manufacturer"),
@@ -260,12 +262,13 @@ def unmatched_rows(
 
 def matched_rows(matched: DataFrame, dim: DataFrame, entities: DataFrame) -> DataFrame:
     """Matched counts with client and supplier; unknown abbreviations have no manufacturer."""
-    facts = matched.select(
-        normalize_id_key(F.col("splist_id")).alias("splist_id"),
+    facts = with_id_keys(matched, {"splist_id": "splist_id"}).select(
+        "splist_id",
         strip(F.col("abbr")).alias("abbr"),
         _count(matched).alias("cnt"),
     )
-    joined = attach(_with_entity(facts, entities), dim.select("abbr", "manufacturer", "legal_name"), "abbr")
+    named = dim.select("abbr", "manufacturer", "legal_name")
+    joined = attach(_with_entity(facts, entities), named, "abbr", written=True)
     return joined.select(
         "abbr",
         "manufacturer",
@@ -325,7 +328,7 @@ def _max_products(products: DataFrame, aliases: DataFrame) -> DataFrame:
     by_name = products.groupBy("name").agg(F.max(to_int(F.col("cnt"))).alias("cnt"))
     keyed = by_name.withColumn("alias_key", canonical_key(F.col("name")))
     by_key = keyed.groupBy("alias_key").agg(F.max("cnt").alias("cnt"))
-    return attach(by_key, aliases, "alias_key")
+    return attach(by_key, aliases, "alias_key", written=True)
 
 
 def products_in_db(products: DataFrame, dim: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -342,7 +345,7 @@ def products_in_db(products: DataFrame, dim: DataFrame, aliases: DataFrame) -> D
 def unmapped_suppliers(products: DataFrame, aliases: DataFrame) -> DataFrame:
     """Distinct product supplier keys without an alias."""
     keys = products.select("name").distinct().select(canonical_key(F.col("name")).alias("alias_key"))
-    unknown = attach(keys.distinct(), aliases.select("alias_key"), "alias_key", "left_anti")
+    unknown = attach(keys.distinct(), aliases.select("alias_key"), "alias_key", "left_anti", written=True)
     return unknown.withColumnRenamed("alias_key", "unmapped_supplier_key")
 
 
@@ -372,7 +375,7 @@ def latest_dataset(datasets: DataFrame, dim: DataFrame, aliases: DataFrame) -> D
     )
     keyed = by_name.withColumn("alias_key", canonical_key(F.col("company_source")))
     by_abbr = (
-        attach(keyed, aliases, "alias_key", "inner")
+        attach(keyed, aliases, "alias_key", "inner", written=True)
         .groupBy("abbr")
         .agg(
             F.sum("datasets_imported").alias("datasets_imported"),
@@ -401,10 +404,7 @@ def matched_at_latest(match_ts: DataFrame) -> DataFrame:
     """Newest match day per list id; null when no cell holds a date."""
     if "matched_at" not in match_ts.columns:
         match_ts = match_ts.limit(0).withColumn("matched_at", F.lit(None).cast("string"))
-    keyed = match_ts.select(
-        normalize_id_key(F.col("list_id")).alias("be_id"),
-        parse_timestamp(F.col("matched_at")).alias("at"),
-    )
+    keyed = with_id_keys(match_ts, {"be_id": "list_id"}).select("be_id", parse_timestamp(F.col("matched_at")).alias("at"))
     return (
         keyed.where("be_id <> ''")
         .groupBy("be_id")
@@ -537,9 +537,14 @@ def report_wide(kpis: DataFrame, long: DataFrame, pairs: list[tuple[str, str]] |
 def report_from_folders(spark: SparkSession, root: str, folders: dict[str, dict]) -> dict[str, DataFrame]:
     """All report tables from folders of raw exports, {kind: {"dir": ..., "formats": [...]}}.
 
-    Kinds that are not named, and folders that are absent or empty, count as empty inputs.
+    Kinds that are not named, and folders that are absent or empty, count as empty inputs; but a
+    prior report that is named must be exactly one file.
     """
-    raw = load_inputs(spark, root, folders, position="ord", null_tokens=PANDAS_NULLS)
+    others = {kind: spec for kind, spec in folders.items() if kind != "prev"}
+    raw = load_inputs(spark, root, others, position="ord", null_tokens=PANDAS_NULLS)
+    if "prev" in folders:
+        spec = folders["prev"]
+        raw["prev"] = read_prior_report(spark, f"{root}/{spec['dir']}", spec["formats"], PANDAS_NULLS)
     return build_report({kind: read_roles(frame, kind) for kind, frame in raw.items()})
 
 

@@ -54,17 +54,20 @@ def _master_columns(master: DataFrame) -> DataFrame:
     return master.where(F.col("manufacturer_id").isNotNull()).select("manufacturer_id", *kept)
 
 
-def enrich(catalog: DataFrame, master: DataFrame, keep_unmatched: bool = False) -> DataFrame:
+def enrich(
+    catalog: DataFrame, master: DataFrame, keep_unmatched: bool = False, stored: bool = False
+) -> DataFrame:
     """Attach the master columns by manufacturer_id.
 
     As in the original job unmatched rows are lost, which makes any match rate taken
-    afterwards 100 %. ``keep_unmatched`` keeps them and adds fk_matched.
+    afterwards 100 %. ``keep_unmatched`` keeps them and adds fk_matched. ``stored`` tells that the
+    master is a stored table; if both are bucketed by manufacturer_id, they are joined in place.
     """
     side = _master_columns(master)
     if not keep_unmatched:
-        return attach(catalog, side, "manufacturer_id", "inner")
+        return attach(catalog, side, "manufacturer_id", "inner", written=stored)
     flagged = side.withColumn("fk_matched", F.lit(True))
-    joined = attach(catalog, flagged, "manufacturer_id")
+    joined = attach(catalog, flagged, "manufacturer_id", written=stored)
     return joined.withColumn("fk_matched", F.coalesce("fk_matched", F.lit(False)))
 
 

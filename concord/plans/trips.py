@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,9 +163,8 @@ def load_days(trips: DataFrame, folder: str, first_day: str, last_day: str) -> N
     Days of the window that have no usable trip (any more) are removed.
     """
     spark = trips.sparkSession
-    days = [r[0] for r in spark.sql(
-        f"SELECT CAST(explode(sequence(DATE '{first_day}', DATE '{last_day}')) AS STRING)"
-    ).collect()]
+    start, end = date.fromisoformat(first_day), date.fromisoformat(last_day)
+    days = [(start + timedelta(n)).isoformat() for n in range((end - start).days + 1)]
     clean = clean_trips(trips, first_day, last_day)
     replace_partitions(clean, f"{folder}/trips_clean", "trip_date", days)
     stored = spark.read.parquet(f"{folder}/trips_clean").select(*clean.columns)
