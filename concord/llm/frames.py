@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import tempfile
 import zipfile
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 from pathlib import Path
 
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +50,29 @@ def fields(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
     return [T.StructField(n, df.schema[n].dataType, True) for n in names]
 
 
+_sent: dict[str, list[Broadcast]] = defaultdict(list)
+
+
+def sent(spark: SparkSession, value) -> Broadcast:
+    """A value sent to every task, remembered so that its copies can be freed."""
+    out = spark.sparkContext.broadcast(value)
+    _sent[spark.sparkContext.applicationId].append(out)
+    return out
+
+
+def free_sent(spark: SparkSession) -> None:
+    """Free the copies of what has been sent so far; a task that still reads one gets it again."""
+    for value in _sent.pop(spark.sparkContext.applicationId, []):
+        value.unpersist()
+
+
+def release_memory() -> None:
+    """Give memory that a worker has freed back to the machine, which it shares with other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 _shipped: set[str] = set()
 
 

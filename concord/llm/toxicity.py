@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concord.llm import words as W
-from concord.llm.frames import picked, table, written
+from concord.llm.frames import picked, release_memory, sent, table, written
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -44,7 +44,7 @@ RUN = 6
 CLEAR = 2.0
 FEATURES = 4
 #: Five-grams a task holds before it passes them on.
-HELD = 1 << 21
+HELD = 1 << 18
 
 
 def checksum(doc_id: Column) -> Column:
@@ -94,6 +94,11 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     """(gram, toxic, plain) of all texts of (text, label): occurrences in rows labelled 1 and 0."""
 
     def run(batches):
+        release_memory()
+        yield from counted(batches)
+        release_memory()
+
+    def counted(batches):
         held: list[np.ndarray] = []
         size = 0
         for b in batches:
@@ -254,7 +259,9 @@ class ToxicityModel:
 
         @F.arrow_udf("double")
         def toxicity(texts: pa.Array) -> pa.Array:
-            return pa.array(regression.score(features(texts, ratios.value)))
+            scores = pa.array(regression.score(features(texts, ratios.value)))
+            release_memory()
+            return scores
 
         return toxicity(text)
 
@@ -282,7 +289,7 @@ def fit(
     grams = written(gram_counts(docs.join(sample, "doc_id", "left")))
     model = class_ratios(grams).toPandas()
     ratios = Ratios(model["gram"].to_numpy(np.int64), model["ratio"].to_numpy(float), model["otherwise"].to_numpy(float))
-    ratios = docs.sparkSession.sparkContext.broadcast(ratios)
+    ratios = sent(docs.sparkSession, ratios)
 
     @F.arrow_udf("array<double>")
     def looked_at(texts: pa.Array) -> pa.Array:
