@@ -7,37 +7,50 @@ empty tables go through.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from concord.llm import decontaminate, exact, mixing, near, toxicity
-from concord.llm.frames import shipped, table, written
+from concord.llm.frames import free_sent, shipped, table, written
+
+
+def stage(function):
+    """A stage that ships the package first and frees what the stages before have sent to the tasks."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        free_sent(spark)
+        return shipped(function)(spark, docs, sf_dir)
+
+    return run
 
 
-@shipped
+@stage
 def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models reject go."""
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
-@shipped
+@stage
 def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays."""
     return exact.keep_exact(docs)
 
 
-@shipped
+@stage
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one document stays."""
     return near.keep_one(docs)
 
 
-@shipped
+@stage
 def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with words of the benchmark's windows go."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-@shipped
+@stage
 def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of each document that is left."""
     return mixing.mix_sources(docs)
@@ -58,6 +71,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of sf_dir; intermediate tables are in the shared folder."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+    for _, function in STAGES[:-1]:
+        docs = written(function(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
