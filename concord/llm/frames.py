@@ -66,6 +66,18 @@ def free_sent(spark: SparkSession) -> None:
         value.unpersist()
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Fewer rows in a batch between the JVM and its workers for this session, unless it has its own number.
+
+    Texts are long rows: batches of the usual ten thousand hold tens of megabytes on both sides.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(rows))
+
+
 def release_memory() -> None:
     """Give memory that a worker has freed back to the machine, which it shares with other stages."""
     pa.default_memory_pool().release_unused()
