@@ -12,15 +12,16 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 
 from concord.llm import decontaminate, exact, mixing, near, toxicity
-from concord.llm.frames import free_sent, shipped, table, written
+from concord.llm.frames import free_sent, shipped, small_batches, table, written
 
 
 def stage(function):
-    """A stage that ships the package first and frees what the stages before have sent to the tasks."""
+    """A stage that ships the package first, frees what the stages before have sent, and works in small batches."""
 
     @functools.wraps(function)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         free_sent(spark)
+        small_batches(spark)
         return shipped(function)(spark, docs, sf_dir)
 
     return run
