@@ -24,7 +24,7 @@ import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -184,14 +184,58 @@ def digests(chats: DataFrame) -> DataFrame:
     return chats.mapInArrow(run, schema)
 
 
+def streamed(turns: DataFrame, conversation: str, order_by: Sequence[str], role: str = "role", text: str = "text") -> DataFrame:
+    """The event log of finished turns, as if each had been streamed; folding it gives the turns again.
+
+    A turn is a start and deltas cut from its text, at places by a hash; a third of them has a wrong
+    draft that a regeneration clears first, a third one that an edit replaces. Empty turns are whole
+    messages. Returns conversation, sequence, step, event, message, role, text.
+    """
+    key, order = turns[conversation], [turns[c].asc_nulls_first() for c in order_by]
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    rows = turns.select(key.alias("conversation"), turns[role].alias("role"), F.coalesce(turns[text], F.lit("")).alias("text"), rank.alias("sequence"))
+    size = F.char_length("text")
+
+    def place(n: int):
+        return F.pmod(F.xxhash64("conversation", "sequence", F.lit(n)), size + 1).cast("int")
+
+    rows = rows.withColumns({"size": size, "a": F.least(place(1), place(2)), "b": F.greatest(place(1), place(2))})
+
+    def cut(start, stop):
+        return F.substr(F.col("text"), start + 1, stop - start)
+
+    def events(*listed):
+        return F.array(*[
+            F.struct(F.lit(n).alias("step"), F.lit(kind).alias("event"), (F.lit(None).cast("string") if body is None else body).alias("body"))
+            for n, (kind, body) in enumerate(listed)
+        ])
+
+    zero, a, b, end = F.lit(0), F.col("a"), F.col("b"), F.col("size")
+    draft = F.concat(F.lit("draft "), F.reverse(cut(zero, b)))
+    kinds = F.pmod(F.xxhash64("conversation", "sequence"), F.lit(3))
+    log = (
+        F.when(end == 0, events(("message", F.col("text"))))
+        .when(kinds == 0, events(("start", cut(zero, a)), ("delta", cut(a, b)), ("delta", cut(b, end))))
+        .when(kinds == 1, events(("start", None), ("delta", draft), ("regenerate", None), ("delta", cut(zero, a)), ("delta", cut(a, end))))
+        .otherwise(events(("start", draft), ("delta", cut(a, end)), ("edit", cut(zero, b)), ("delta", cut(b, end))))
+    )
+    told = rows.select("conversation", "sequence", "role", F.inline(log))
+    return told.select(
+        "conversation", "sequence", "step", "event", F.col("sequence").cast("string").alias("message"), "role", F.col("body").alias("text")
+    )
+
+
 def op5_chat(spark, folder: str) -> DataFrame:
-    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars of all conversations and number -7."""
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars of all conversations and number -7.
+
+    The table has finished turns; they become a log of starts, deltas, edits and regenerations, which is folded.
+    """
     text = (F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text"))
     told = table(spark, folder, "conversations").select("conv_id", "turn", *text)
     tricky = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, LEARNT, tricky)], told.schema)
-    log = told.unionByName(extra).withColumns({"event": F.lit("message"), "message": F.lit(None).cast("string")})
-    chats = format_chats(log, ["turn", "role", "text"], conversation="conv_id")
+    log = streamed(told.unionByName(extra), "conv_id", ["turn", "role", "text"])
+    chats = format_chats(log, ["sequence", "step"])
     return digests(chats).withColumnRenamed("conversation", "conv_id")
 
 

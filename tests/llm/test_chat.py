@@ -55,3 +55,19 @@ def test_log(spark):
 def test_empty(spark):
     log = spark.createDataFrame([], "conversation long, sequence long, event string, message long, role string, text string")
     assert chat.format_chats(log).collect() == []
+
+
+def test_streamed_turns_fold_to_the_turns(spark):
+    texts = ["", None, "a", "😀é", "x|y\\z", "same", "same", "long " * 5000, "<|end|>"]
+    turns = [(c, n, "assistant" if n % 2 else "user", t) for c in (1, 2, None) for n, t in enumerate(texts)]
+    turns += [(1, 5, "assistant", "same"), (1, None, "system", "first")]
+    frame = spark.createDataFrame([(*t, "e", 1) for t in turns], "conv long, turn int, role string, text string, event string, step int")
+    log = chat.streamed(frame, "conv", ["turn", "role", "text"])
+    kinds = {r.event: r.n for r in log.groupBy("event").agg({"*": "count"}).toDF("event", "n").collect()}
+    assert set(kinds) == {"message", "start", "delta", "edit", "regenerate"} and kinds["message"] == 6
+    assert log.where("event = 'message' AND text <> ''").count() == 0
+    got = {r.conversation: chat.parse(r.formatted) for r in chat.format_chats(log, ["sequence", "step"]).collect()}
+    for c in (1, 2, None):
+        rows = sorted((t for t in turns if t[0] == c), key=lambda t: (t[1] is not None, t[1], t[2], t[3] or ""))
+        assert got[c] == [(r, t or "") for _, _, r, t in rows]
+    assert chat.streamed(frame.limit(0), "conv", ["turn"]).collect() == []
