@@ -8,9 +8,12 @@ done for each statement of a text (a line, or a sentence of it): licences named
 of up to NOTICE_WORDS words is also found over several of them, as long as it begins and ends with one
 and no empty line is inside.
 
+An SPDX expression names the licences that AND and OR join, each without what follows WITH.
+
 Known texts are a table (licence, text), by default the short ones below and the files in `known`,
-with and without a usual title, and up to the end of their terms. Their digests are counted
-first; up to KNOWN_ROWS of them are broadcast, a larger registry is refused.
+with and without a usual title, and up to the end of their terms, and notices made from all names.
+Their digests are counted first; up to KNOWN_ROWS of them are sent to every task. With a larger
+registry the digests of texts and statements are joined to it by a shuffle; results are the same.
 
 A null text is empty, and an empty text (or one of copyright lines alone) has no licence. Two known
 texts with one canonical form give the licence that sorts first. Rows repeated in full each get
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.llm import words as W
-from concord.llm.frames import fields, picked, table
+from concord.llm.frames import fields, picked, table, written
 
 KNOWN_ROWS = 100_000
 #: Most words of a notice that is looked for over several lines.
@@ -153,7 +156,8 @@ def known_texts(spark: SparkSession) -> DataFrame:
     rows += [(k, text[: text.index(END) + len(END)]) for k, text in rows if END in text]
     rows += [(k, f"{title}\n\n{text}") for k, text in rows for title in TITLES.get(k, ())]
     rows += [(k, header) for k, headers in HEADERS.items() for header in headers]
-    rows += [(k, f"{o} {name}.") for k, names in NOTICES.items() for name in names for o in OPENINGS]
+    names = {k: (k, *NOTICES.get(k, ())) for k in sorted({k for k, _ in rows} | set(NOTICES))}
+    rows += [(k, f"{o} {name}.") for k, listed in names.items() for name in listed for o in OPENINGS]
     return spark.createDataFrame(rows, "licence string, text string")
 
 
@@ -165,6 +169,8 @@ def _word_hashes(words: list[str]) -> np.ndarray:
 _variants = _word_hashes(list(SPELLINGS))
 _order = np.argsort(_variants)
 _VARIANTS, _USED = _variants[_order], _word_hashes(list(SPELLINGS.values()))[_order]
+_SPDX = _word_hashes(["spdx", "license", "identifier"])
+_JOINING, _WITH = _word_hashes(["and", "or"]), _word_hashes(["with"])[0]
 _COPYRIGHT, _C, _SIGN, _ALL, _RIGHTS, _RESERVED = (_word_hashes([w])[0] for w in ("copyright", "c", "©", "all", "rights", "reserved"))
 
 
@@ -198,10 +204,21 @@ def text_digests(found: W.Words) -> np.ndarray:
     return _digests(hashes[stay], kept[found.first])
 
 
-def statement_digests(found: W.Words, sizes: dict[int, set[int]]) -> tuple[np.ndarray, np.ndarray]:
+def spdx_parts(words: np.ndarray) -> list[np.ndarray]:
+    """The statements of one licence each that an SPDX expression of several stands for."""
+    body = words[len(_SPDX) :]
+    cuts = np.flatnonzero(np.isin(body, _JOINING))
+    parts = [p[p != j] for p, j in zip(np.split(body, cuts), [0, *body[cuts]])]
+    ends = [np.flatnonzero(p == _WITH) for p in parts]
+    parts = [p[: e[0]] if len(e) else p for p, e in zip(parts, ends)]
+    return [np.concatenate([_SPDX, p]) for p in parts if len(p)] if len(cuts) or any(map(len, ends)) else []
+
+
+def statement_digests(found: W.Words, sizes: dict[int, set[int]] | set[int]) -> tuple[np.ndarray, np.ndarray]:
     """Digest and text number of each statement: words up to a line break, or a full stop, ! or ? before a space.
 
-    sizes: lengths of notices by the hash of their first word; statements put together that agree in both follow.
+    sizes: lengths of notices by the hash of their first word, or for any first word; statements put together
+    that agree follow, and the parts of SPDX expressions.
     """
     hashes, stay = canonical(found)
     data = found.data
@@ -215,9 +232,17 @@ def statement_digests(found: W.Words, sizes: dict[int, set[int]]) -> tuple[np.nd
     heads = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])]))
     ends = np.concatenate([heads[1:], [len(hashes)]])
     joined, owners = [], []
-    for k in np.flatnonzero(np.isin(hashes[heads], np.array(list(sizes), np.uint64))).tolist():
-        wanted, e = sizes[int(hashes[heads[k]])], k + 1
-        longest = max(wanted)
+    for k in np.flatnonzero((hashes[heads] == _SPDX[0]) & (ends - heads > len(_SPDX))).tolist():
+        statement = hashes[heads[k] : ends[k]]
+        if (statement[: len(_SPDX)] == _SPDX).all():
+            parts = spdx_parts(statement)
+            joined += parts
+            owners += [owner[heads[k]]] * len(parts)
+    listed = isinstance(sizes, dict)
+    begin = np.flatnonzero(np.isin(hashes[heads], np.array(list(sizes), np.uint64))) if listed else np.arange(len(heads))
+    for k in begin.tolist():
+        wanted, e = sizes[int(hashes[heads[k]])] if listed else sizes, k + 1
+        longest = max(wanted, default=0)
         while e < len(heads) and owner[heads[e]] == owner[heads[k]] and part[heads[e]] == part[heads[e - 1]] + 1 and ends[e] - heads[k] <= longest:
             if int(ends[e] - heads[k]) in wanted:
                 joined.append(hashes[heads[k] : ends[e]])
@@ -265,6 +290,26 @@ def with_digests(
     return texts.select(*names, "text").mapInArrow(run, schema)
 
 
+def statements_of(texts: DataFrame, sizes: set[int]) -> DataFrame:
+    """doc_id, digest of each text, and statements: the digests of all its statements."""
+    schema = T.StructType([*fields(texts, ["doc_id"]), T.StructField("digest", T.StringType()), T.StructField("statements", T.ArrayType(T.StringType()))])
+
+    def run(batches):
+        for b in batches:
+            for i, j, data, offsets in W.blocks(b["text"]):
+                found = W.split(data, offsets)
+                digests, owner = statement_digests(found, sizes)
+                order = np.argsort(owner, kind="stable")
+                lists = W.list_column(np.arange(len(order)), np.bincount(owner, minlength=j - i), pa.int64())
+                texts = _hex(digests[order])
+                yield pa.RecordBatch.from_arrays(
+                    [b["doc_id"].slice(i, j - i), _hex(text_digests(found)), pa.ListArray.from_arrays(lists.offsets, texts)],
+                    names=["doc_id", "digest", "statements"],
+                )
+
+    return texts.select("doc_id", "text").mapInArrow(run, schema)
+
+
 def heads_and_sizes(known: DataFrame) -> DataFrame:
     """First word and number of words of each known text of up to NOTICE_WORDS words."""
 
@@ -292,17 +337,27 @@ def find_licences(
     digests = (
         with_digests(known, ["licence"], None).where("digest IS NOT NULL").groupBy("digest").agg(F.min("licence").alias("licence"))
     )
-    notices = {r["digest"]: r["licence"] for r in digests.limit(KNOWN_ROWS + 1).collect()}
-    if len(notices) > KNOWN_ROWS:
-        raise ValueError(f"more than {KNOWN_ROWS} known texts")
+    digests = written(digests)
+    short = heads_and_sizes(known).distinct()
+    if digests.count() > KNOWN_ROWS:
+        return _joined(docs, digests, {r[0] for r in short.select("size").distinct().collect()})
+    notices = {r["digest"]: r["licence"] for r in digests.collect()}
     sizes = defaultdict(set)
-    for head, size in heads_and_sizes(known).distinct().collect():
+    for head, size in short.collect():
         sizes[head & (1 << 64) - 1].add(size)
-    lookup = docs.sparkSession.createDataFrame(list(notices.items()), "digest string, licence string")
-    found = with_digests(docs, ["doc_id"], notices, dict(sizes)).join(F.broadcast(lookup), "digest", "left")
+    found = with_digests(docs, ["doc_id"], notices, dict(sizes)).join(F.broadcast(digests), "digest", "left")
     return found.select("doc_id", "digest", "licence", "notices")
 
 
+def _joined(docs: DataFrame, digests: DataFrame, sizes: set[int]) -> DataFrame:
+    """find_licences with a registry of any size: texts and statements are joined to it by their digests."""
+    found = written(statements_of(docs, sizes).withColumn("row", F.monotonically_increasing_id()))
+    named = found.select("row", F.explode("statements").alias("digest")).distinct().join(digests, "digest")
+    named = named.groupBy("row").agg(F.array_sort(F.collect_set("licence")).alias("notices"))
+    out = found.drop("statements").join(digests, "digest", "left").join(named, "row", "left")
+    return out.select("doc_id", "digest", "licence", F.coalesce("notices", F.array().cast("array<string>")).alias("notices"))
+
+
 def op10_licences(spark, folder: str) -> DataFrame:
     """doc_id, digest, licence, notices for every row of documents."""
     return find_licences(table(spark, folder, "documents"))
