@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.views import view
-from concord.functions.dates import format_date, parse_date, parse_date_text
+from concord.functions.dates import format_date, with_timestamps
 from concord.functions.numbers import with_counts, with_id_keys
 from concord.functions.text import canonical_key, loose_key, repair_text, with_identifiers
 from concord.operators.compare import arrow_matcher
@@ -562,12 +562,12 @@ def id_and_int_parse(spark, sf):
 
 
 def date_parse(spark, sf):
-    day = parse_date(F.col("raw"))
-    return view(spark, sf, "v_date_text").select(
+    day = F.col("at").cast("date")
+    return with_timestamps(view(spark, sf, "v_date_text"), {"at": "raw"}).select(
         "o_orderkey",
         day.alias("day"),
         format_date(day).alias("day_text"),
-        parse_date_text(F.col("raw")).alias("day_or_blank"),
+        F.coalesce(format_date(day), F.lit("")).alias("day_or_blank"),
     )
 
 

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.functions.dates import format_date, parse_timestamp
+from concord.functions.dates import format_date, with_timestamps
 from concord.functions.numbers import normalize_id_key, to_int, to_rate, with_id_keys
 from concord.functions.text import canonical_key, is_blank, is_flagged, repair_text, strip
 from concord.operators.joins import attach, attach_many
@@ -358,12 +358,8 @@ def latest_dataset(datasets: DataFrame, dim: DataFrame, aliases: DataFrame) -> D
     """
     missing = [c for c in OPTIONAL_ROLES["datasets"] if c not in datasets.columns]
     complete = datasets.withColumns({c: F.lit(None).cast("string") for c in missing})
-    stamped = complete.select(
-        "company_source",
-        "ord",
-        "source_format",
-        "source_origin",
-        parse_timestamp(F.col("import_done")).alias("imported_at"),
+    stamped = with_timestamps(complete, {"imported_at": "import_done"}).select(
+        "company_source", "ord", "source_format", "source_origin", "imported_at"
     )
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     age = F.timestamp_diff("MICROSECOND", epoch, F.col("imported_at"))
@@ -404,7 +400,7 @@ def matched_at_latest(match_ts: DataFrame) -> DataFrame:
     """Newest match day per list id; null when no cell holds a date."""
     if "matched_at" not in match_ts.columns:
         match_ts = match_ts.limit(0).withColumn("matched_at", F.lit(None).cast("string"))
-    keyed = with_id_keys(match_ts, {"be_id": "list_id"}).select("be_id", parse_timestamp(F.col("matched_at")).alias("at"))
+    keyed = with_timestamps(with_id_keys(match_ts, {"be_id": "list_id"}), {"at": "matched_at"}).select("be_id", "at")
     return (
         keyed.where("be_id <> ''")
         .groupBy("be_id")
