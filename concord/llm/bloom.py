@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -13,10 +11,6 @@ BLOCK_BITS = 13
 #: Largest size of a filter in bytes. With more hashes than fit, more values pass; none is lost.
 LARGEST = 1 << 24
 BITS_PER_VALUE = 16
-#: Largest size of a filter of repeats, values a task gathers before it passes their bits on, and bits passed on together.
-LARGEST_REPEATS = 1 << 25
-GATHERED = 1 << 20
-PART_BITS = 16
 
 
 def _blocks(values: int, largest: int) -> int:
@@ -68,52 +62,3 @@ class Bloom:
         for where in _places(hashes, self.blocks):
             out &= (bits[(where >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (where & np.uint64(7)).astype(np.uint8))) & 1 == 1
         return out
-
-
-class Repeats(Bloom):
-    """The bits that more than one value has set: a value with another bit is certainly there only once."""
-
-    def __init__(self, rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], values: int):
-        """hashes_of: the hashes of a batch of rows; values: about how many there are. The filter passes the driver."""
-        blocks = max(_blocks(values, LARGEST_REPEATS), 1 << (PART_BITS - BLOCK_BITS))
-
-        def passed_on(held: list[np.ndarray]) -> pa.RecordBatch:
-            first, second = _places(np.concatenate(held), blocks)
-            where, n = np.unique(np.concatenate([first, second[second != first]]), return_counts=True)
-            part = (where >> np.uint64(PART_BITS)).astype(np.int64)
-            heads = np.flatnonzero(np.concatenate([[True], np.diff(part) != 0])[: len(part)])
-            low = (where & np.uint64((1 << PART_BITS) - 1)).astype(np.uint16)
-            both = [(x[c == 1].tobytes(), x[c > 1].tobytes()) for x, c in zip(np.split(low, heads[1:]), np.split(n, heads[1:]))]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(part[heads]), pa.array([a for a, _ in both], pa.binary()), pa.array([b for _, b in both], pa.binary())],
-                names=["part", "once", "again"],
-            )
-
-        def one_task(batches):
-            held, size = [], 0
-            for b in batches:
-                for hashes in hashes_of(b):
-                    if len(hashes):
-                        held.append(hashes)
-                        size += len(hashes)
-                    if size >= GATHERED:
-                        yield passed_on(held)
-                        held, size = [], 0
-            if held:
-                yield passed_on(held)
-
-        def one_part(pdf: pd.DataFrame) -> pd.DataFrame:
-            seen = np.zeros(1 << PART_BITS, np.uint8)
-            for once, again in zip(pdf["once"], pdf["again"]):
-                # The places of one batch differ, so each is counted.
-                once = np.frombuffer(once, np.uint16)
-                seen[once] = np.minimum(seen[once] + 1, 2)
-                seen[np.frombuffer(again, np.uint16)] = 2
-            return pd.DataFrame({"part": pdf["part"][:1], "bits": [np.packbits(seen > 1).tobytes()]})
-
-        whole = np.zeros(((blocks << BLOCK_BITS) >> PART_BITS, 1 << (PART_BITS - 3)), np.uint8)
-        sparse = rows.mapInArrow(one_task, "part long, once binary, again binary")
-        for part, bits in sparse.groupBy("part").applyInPandas(one_part, "part long, bits binary").collect():
-            whole[part] = np.frombuffer(bits, np.uint8)
-        self.blocks = blocks
-        self.bits = rows.sparkSession.sparkContext.broadcast(whole.reshape(-1))
