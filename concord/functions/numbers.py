@@ -83,12 +83,17 @@ def with_counts(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def with_id_keys(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Add normalize_id_key of {new name: source column}; every step is a column of its own."""
+    """Add normalize_id_key of {new name: source column}; every step is a column of its own.
+
+    Spark is shown that a key is never null: a join on it then adds no filter, which would be pushed
+    below an aggregate of the source and work the key out for every raw row.
+    """
     text = {new: F.col(source).cast("string") for new, source in columns.items()}
     staged = df.withColumns({f"_text_{new}": _no_thousands(strip(t)) for new, t in text.items()})
     staged = staged.withColumns({f"_number_{new}": _number_of(F.col(f"_text_{new}")) for new in columns})
     keys = {}
     for new, raw in text.items():
         general = F.coalesce(_digits_of(F.col(f"_number_{new}")), F.col(f"_text_{new}"), F.lit(""))
-        keys[new] = F.when(raw.rlike(_SHORT_INT), raw.cast("bigint").cast("string")).otherwise(general)
+        key = F.when(raw.rlike(_SHORT_INT), raw.cast("bigint").cast("string")).otherwise(general)
+        keys[new] = F.coalesce(key, F.lit(""))
     return staged.withColumns(keys).drop(*[f"_{step}_{new}" for step in ("text", "number") for new in columns])

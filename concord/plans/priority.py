@@ -227,11 +227,15 @@ def entity_map(entities: DataFrame) -> DataFrame:
 
 
 def _with_entity(facts: DataFrame, entities: DataFrame) -> DataFrame:
-    """Facts of known lists with their client and entity; a repeated list id fans out."""
+    """Facts of known lists with their client and entity; a repeated list id fans out.
+
+    A blank list id is made null, which matches nothing: a filter on it would be applied to the facts'
+    keys as well, and pushed below the counting of their raw rows.
+    """
     known = entities.where(F.col("client").isNotNull()).select(
-        F.col("be_id").alias("splist_id"), "client", "client_key", "be_name", "be_key"
+        F.nullif(F.col("be_id"), F.lit("")).alias("splist_id"), "client", "client_key", "be_name", "be_key"
     )
-    return attach_many(facts, known.where("splist_id <> ''"), "splist_id", written=True)
+    return attach_many(facts, known, "splist_id", written=True)
 
 
 def unmatched_rows(

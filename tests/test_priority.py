@@ -1,8 +1,10 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from concord.plans import priority
+from concord.session import checkpointed
 from concord.sources import headers
 from tests.conftest import rows
 
@@ -225,3 +227,16 @@ def test_raw_headers_resolve_to_roles(spark):
         headers.arrow_header,
     )
     assert priority.read_roles(prior, "prev").columns == ["abbr", "last_month_mr", "stage_in_sf"]
+
+
+def test_list_ids_are_worked_out_after_the_counting(spark):
+    """No filter on the repaired list id is pushed below the aggregate that counts the raw rows."""
+    raw = spark.createDataFrame([(7, "A"), (7, "A"), (8, "B"), (None, "A"), (99, "A")], "list long, abbr string")
+    lists = raw.groupBy("list", "abbr").agg(F.count("*").alias("cnt"))
+    facts = lists.select(F.concat(F.col("list").cast("string"), F.lit(".0")).alias("splist_id"), "abbr", "cnt")
+    known = entities(spark).unionAll(spark.createDataFrame([(9, "Blank", "Site", "", 1, "blank", "site")], "ord int, client string, be_name string, be_id string, mm_total_rows bigint, client_key string, be_key string").select(entities(spark).columns))
+    dim = checkpointed(priority.supplier_dim(ref(spark)))
+    found = priority.matched_rows(facts, dim, checkpointed(known))
+    assert rows(found, "abbr", "be_id", "cnt") == [("A", "7", 2), ("A", "7", 2), ("B", "8", 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan and "RLIKE" not in plan[plan.index("Aggregate") :]
