@@ -521,8 +521,8 @@ def lineage_summary(spark, sf):
 def lineage_from_folders(spark, sf):
     """The summary of a lineage run over inputs of three formats."""
     root, inputs = shared_folder(spark), []
-    for name, form in zip(("research", "matching", "imports"), ("json", "parquet", "csv")):
-        options = {"header": True} if form == "csv" else {"ignoreNullFields": False}
+    formats = {"json": {"ignoreNullFields": False, "compression": "gzip"}, "parquet": {}, "csv": {"header": True}}
+    for name, (form, options) in zip(("research", "matching", "imports"), formats.items()):
         view(spark, sf, f"v_{name}").write.format(form).options(**options).save(f"{root}/{name}")
         inputs.append(folders.read_folder(spark, f"{root}/{name}", ["csv", "json", "parquet"]))
     return lineage.lineage_tables(*inputs)["coverage_summary"]

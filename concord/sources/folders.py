@@ -47,10 +47,15 @@ PANDAS_NULLS = (
 FORMATS = ("csv", "json", "parquet")
 
 
+def _glob(extension: str) -> str:
+    """The names of files with the extension; JSON, which is the longest text, may be compressed."""
+    return "*.{json,json.gz}" if extension == "json" else f"*.{extension}"
+
+
 def _files(spark: SparkSession, folder: str, extension: str) -> DataFrame:
     """One row for each of the folder's files with the extension; an absent folder has none."""
     try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{extension}").load(folder)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", _glob(extension)).load(folder)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], "path string")
@@ -181,7 +186,7 @@ def read_folder(
             continue
         if extension not in FORMATS:
             raise ValueError(f"unsupported format '{extension}' for folder {folder}")
-        glob = f"*.{extension}"
+        glob = _glob(extension)
         if extension == "csv":
             return read_csv_files(spark, folder, position=position, null_tokens=null_tokens, glob=glob, **options)
         frame = spark.read.format(extension).option("pathGlobFilter", glob).load(folder)

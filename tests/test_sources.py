@@ -159,3 +159,9 @@ def test_sinks(spark, tmp_path):
     assert rows(sinks.with_percent(report)) == [("M1", "12.35%")]
     sinks.write_report(report, str(tmp_path / "report"))
     assert rows(folders.read_csv_folder(spark, str(tmp_path / "report"))) == [("M1", "12.35%")]
+
+
+def test_compressed_json(spark, tmp_path):
+    data = spark.createDataFrame([("1", None), ("2", "b")], "a string, b string")
+    data.write.json(str(tmp_path / "in"), compression="gzip", ignoreNullFields=False)
+    assert rows(folders.read_folder(spark, str(tmp_path / "in"), ["csv", "json"])) == [("1", None), ("2", "b")]
