@@ -509,7 +509,7 @@ def identifier_matcher_arrow(spark, sf):
 def lineage_from_tables(spark, sf):
     """The lineage rows from lines and pairs that are saved bucketed by their key."""
     research, matching, imports = (view(spark, sf, f"v_{n}") for n in ("research", "matching", "imports"))
-    saved = lineage.save_lineage_inputs(research, matching, "concord_lineage", shared_folder(spark), 4)
+    saved = lineage.save_lineage_inputs(research, matching, "concord_lineage", shared_folder(spark))
     return lineage.lineage_from_tables(saved["lines"], saved["pairs"], imports)
 
 

@@ -31,6 +31,8 @@ NO_MATCHING_ROW = "no matching row"
 PAIR = ["list_id", "material_reference"]
 
 
+#: Lines of a bucket on average, where their number is left open.
+BUCKET_LINES = 500_000
 def _with_keys(df: DataFrame) -> DataFrame:
     return with_identifiers(df, {k: k for k in PAIR if k in df.columns})
 
@@ -220,9 +222,13 @@ def imported_materials(imports: DataFrame) -> DataFrame:
 
 
 def save_lineage_inputs(
-    research: DataFrame, matching: DataFrame, prefix: str, folder: str, buckets: int = 200
+    research: DataFrame, matching: DataFrame, prefix: str, folder: str, buckets: int | None = None
 ) -> dict[str, DataFrame]:
-    """Save lines and collapsed pairs bucketed by list and material, so that later runs join them in place."""
+    """Save lines and collapsed pairs bucketed by list and material, so that later runs join them in place.
+
+    A bucket is one task's work, so unless their number is given there are more of them with more lines.
+    """
+    buckets = buckets or max(1, -(-research.count() // BUCKET_LINES))
     tables = {"lines": research_lines(research), "pairs": collapse_candidates(matching)}
     return {
         name: save_bucketed(df, f"{prefix}_{name}", PAIR, buckets, f"{folder}/{name}") for name, df in tables.items()

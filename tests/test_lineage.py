@@ -100,3 +100,15 @@ def test_contracts(spark):
         lineage.collapse_candidates(matching.drop("is_matched"))
     with pytest.raises(ValueError, match="research rows"):
         lineage.build_lineage(research.drop("list_id"), matching, imports)
+
+
+def test_buckets_grow_with_the_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lineage, "BUCKET_LINES", 2)
+    research, matching, imports = inputs(spark)
+    saved = lineage.save_lineage_inputs(research, matching, "tests_buckets", str(tmp_path))
+    for name in saved:
+        about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED tests_buckets_{name}").collect()}
+        assert about["Num Buckets"] == "3"
+    found = lineage.lineage_from_tables(saved["lines"], saved["pairs"], imports)
+    built = lineage.build_lineage(research, matching, imports)
+    assert rows(found.select(*built.columns)) == rows(built)
