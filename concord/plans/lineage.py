@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concord.functions.text import has_identifier, normalize_bool, with_identifiers
 from concord.operators.compare import FIELD_STATUSES, agreement, compare_fields
 from concord.operators.joins import attach
-from concord.session import checkpointed
+from concord.session import checkpointed, shared_partitions
 from concord.sources.headers import require_columns
 from concord.sources.sinks import save_bucketed
 
@@ -29,10 +31,10 @@ MATCHING_COLUMNS = ("list_id", "material_reference", "is_matched")
 IMPORT_COLUMNS = ("material_reference",)
 NO_MATCHING_ROW = "no matching row"
 PAIR = ["list_id", "material_reference"]
-
-
 #: Lines of a bucket on average, where their number is left open.
 BUCKET_LINES = 500_000
+
+
 def _with_keys(df: DataFrame) -> DataFrame:
     return with_identifiers(df, {k: k for k in PAIR if k in df.columns})
 
@@ -89,17 +91,27 @@ def build_lineage(
 
     ``pairs`` may be a written table of the collapsed candidates. The fields are
     compared before the joins, which they do not depend on: together with the joins they
-    would make one generated method too large to be compiled.
+    would make one generated method too large to be compiled. Where both lookups are shuffled, the
+    lines are shuffled once, by their material.
     """
     lines, imported = research_lines(research), imported_materials(imports)
+    shared_partitions(research.sparkSession)
     return _joined(lines, checkpointed(collapse_candidates(matching)) if pairs is None else pairs, imported)
 
 
-def _joined(lines: DataFrame, pairs: DataFrame, imported: DataFrame) -> DataFrame:
-    """Lines with the counts of their pair and whether their material was imported; pairs are a stored table."""
+def _joined(lines: DataFrame, pairs: DataFrame, imported: DataFrame, bucketed: bool = False) -> DataFrame:
+    """Lines with the counts of their pair and whether their material was imported; pairs are a stored table.
+
+    Bucketed lines meet their pairs first, where both are.
+    """
     zero = F.lit(0).cast("bigint")
-    joined = attach(lines, pairs, PAIR, written=True)
-    joined = attach(joined, imported.withColumn("imported", F.lit(True)), IMPORT_COLUMNS[0])
+    imported = checkpointed(imported.withColumn("imported", F.lit(True)))
+    lookups = [(imported, IMPORT_COLUMNS[0]), (pairs, PAIR)]
+    joined = reduce(
+        lambda rows, lookup: attach(rows, *lookup, written=True), reversed(lookups) if bucketed else lookups, lines
+    )
+    named = [c for c in lines.columns if c not in PAIR], [c for c in pairs.columns if c not in PAIR]
+    joined = joined.select(*PAIR, *named[0], *named[1], "imported")
     return joined.withColumns(
         {
             **{c: F.coalesce(F.col(c), zero) for c in ("n_candidates", "n_positive", "n_negative")},
@@ -237,4 +249,4 @@ def save_lineage_inputs(
 
 def lineage_from_tables(lines: DataFrame, pairs: DataFrame, imports: DataFrame) -> DataFrame:
     """build_lineage on saved tables: lines and pairs are joined bucket by bucket, without an exchange."""
-    return _joined(lines, pairs, imported_materials(imports))
+    return _joined(lines, pairs, imported_materials(imports), bucketed=True)

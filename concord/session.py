@@ -23,6 +23,20 @@ SETTINGS = {
 }
 
 
+#: Settings of joins one after the other that share a part of their keys: rows shuffled by it for the first
+#: join stay where they are for the next, unless a frequent key has adaptive execution split a partition.
+SHARED_PARTITIONS = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def shared_partitions(spark: SparkSession) -> None:
+    """Have joins on some and on more of the same keys shuffle their rows once in this session."""
+    for key, value in SHARED_PARTITIONS.items():
+        spark.conf.set(key, value)
+
+
 def local_session(cores: str = "*", name: str = "concord", **extra: str) -> SparkSession:
     """A local session for tests and benchmarks."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)

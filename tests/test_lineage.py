@@ -102,6 +102,24 @@ def test_contracts(spark):
         lineage.build_lineage(research.drop("list_id"), matching, imports)
 
 
+def test_lines_are_shuffled_once(shuffled):
+    """Lines, imports and pairs are each shuffled once, and frequent materials give the same rows."""
+    lines = lineage.build_lineage(*inputs(shuffled))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3
+    research, matching, imports = inputs(shuffled)
+    many = research.crossJoin(shuffled.range(400).select("id"))
+    found = lineage.build_lineage(many, matching, imports)
+    counted = found.groupBy("n", "match_status", "n_candidates", "imported").count()
+    assert rows(counted) == [
+        (1, "green", 2, True, 400),
+        (2, "no matching row", 0, False, 400),
+        (3, "yellow", 2, True, 400),
+        (4, "no matching row", 0, False, 400),
+        (5, "no matching row", 0, True, 400),
+    ]
+
+
 def test_buckets_grow_with_the_lines(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(lineage, "BUCKET_LINES", 2)
     research, matching, imports = inputs(spark)
