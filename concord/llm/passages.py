@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.llm import words as W
+from concord.llm.components import stars
 from concord.llm.frames import fields, picked, small_or_shuffled, table, written
 
 SEED = 6
@@ -585,7 +586,10 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     """One row per document: doc_id, n_words, passages (spans of words that other documents share),
     n_repeated (words in them), n_copied (those of them that a kept text elsewhere has: cutting
     these leaves one occurrence), shared_with (ids of documents that hold the occurrences matched
-    with them; of the many that may share a kept occurrence, one for each span)."""
+    with them; of the many that may share a kept occurrence, one for each span), class_id (the smallest id
+    of all documents that are linked by a match within a passage, directly or over others, or are copies of 50
+    words or more; its own id for a document without links). Any two different texts with a window of 50 words in common
+    are in one class, whichever occurrences were matched."""
     docs = picked(docs, doc_id=id_column, text=text_column)
     texts = written(texts_of(docs))
     classes = written(texts.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("n > 1"))
@@ -640,7 +644,16 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
         of_node.select(F.col("node").alias("of"), F.explode("others").alias("node")).join(holders, "node")
         .groupBy(F.col("of").alias("node")).agg(F.collect_set("holder").alias("shared_with"))
     )
-    known = written(of_node.drop("others").join(shared_with, "node", "left").join(classes, "node", "full"))
+    # Spans name one partner each; the classes take every match within a passage.
+    within = F.exists("passages", lambda x: (x["start"] <= F.col("start")) & (F.col("stop") <= x["stop"]))
+    matches = fuzzy.join(of_node.select("node", "passages"), "node").where(within).select(F.col("node").alias("a"), F.col("other").alias("b"))
+    linked_to = stars(of_node.select(F.col("node").alias("a"), F.explode("others").alias("b")).unionByName(matches))
+    members = linked_to.unionByName(linked_to.select(F.col("b").alias("a"), "b").distinct())
+    members = written(members.join(holders, F.col("a") == F.col("node")).select("node", "b", "holder"))
+    least = members.groupBy("b").agg(F.min("holder").alias("class_id"))
+    classed = members.select("node", "b").distinct().join(least, "b").select("node", "class_id")
+    known = of_node.drop("others").join(shared_with, "node", "left").join(classes, "node", "full")
+    known = written(known.join(classed, "node", "full"))
     all_of_it = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("stop")))
     none = F.array().cast("array<struct<start:int,stop:int>>")
     copy = F.coalesce(F.col("n") > 1, F.lit(False)) & (F.col("n_words") >= PASSAGE)
@@ -652,14 +665,15 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
         F.array_sort(F.array_compact(F.array_union(F.coalesce("shared_with", nobody), twin))).alias("shared_with"),
         F.when(copy, all_of_it).otherwise(F.coalesce("passages", none)).alias("passages"),
         F.when(later, F.col("n_words")).otherwise(F.coalesce("copied", F.lit(0))).alias("n_copied"),
+        F.coalesce("class_id", F.when(copy, F.col("rep")), "doc_id").alias("class_id"),
     )
     size = F.aggregate("passages", F.lit(0).cast("long"), lambda acc, x: acc + x["stop"] - x["start"])
-    return out.select("doc_id", "n_words", "passages", size.alias("n_repeated"), "n_copied", "shared_with")
+    return out.select("doc_id", "n_words", "passages", size.alias("n_repeated"), "n_copied", "shared_with", "class_id")
 
 
 def op7_substring_dedup(spark, folder: str) -> DataFrame:
-    """doc_id, n_words, n_repeated, n_copied, shared_with, passages (start:stop of words, comma-joined) of every
-    row of documents with a passage."""
+    """doc_id, n_words, n_repeated, n_copied, shared_with, passages (start:stop of words, comma-joined), class_id of
+    every row of documents with a passage."""
     found = repeated_passages(table(spark, folder, "documents")).where("n_repeated > 0")
     listed = F.array_join(F.transform("passages", lambda x: F.concat_ws(":", x["start"], x["stop"])), ",")
-    return found.select("doc_id", "n_words", "n_repeated", "n_copied", "shared_with", listed.alias("passages"))
+    return found.select("doc_id", "n_words", "n_repeated", "n_copied", "shared_with", listed.alias("passages"), "class_id")

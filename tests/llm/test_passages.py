@@ -228,3 +228,44 @@ def test_joins_by_shuffle(docs, rows, monkeypatch):
 
 def test_empty(docs):
     assert passages.repeated_passages(docs([])).collect() == []
+
+
+def test_no_two_classes_share_a_window(docs):
+    """Texts that hold a window of PASSAGE words are in one class, also where none is matched with the other one."""
+    r = random.Random(6)
+    new = iter("c%dq" % i for i in range(10**6))
+    shared = [[next(new) for _ in range(70)] for _ in range(6)]
+    held = {0: (0,), 1: (0,), 2: (0, 1), 3: (1,), 4: (1,), 5: (2,), 6: (2, 3), 7: (3, 4), 8: (4,), 9: (5,), 10: ()}
+    rows = []
+    for d in r.sample(sorted(held), len(held)):
+        w = [next(new) for _ in range(30)]
+        for k in held[d]:
+            w += [*shared[k], *(next(new) for _ in range(40))]
+        rows.append((d, " ".join(w)))
+    copied = " ".join(next(new) for _ in range(60))
+    rows += [(20, copied), (21, copied), (None, " ".join(shared[5])), (30, None), (31, "a b"), (32, "a b")]
+    got = passages.repeated_passages(docs(rows)).collect()
+    assert len(got) == len(rows) and any(len(x.shared_with) < 4 for x in got if x.doc_id in range(5))
+    found = {x.doc_id: x.class_id for x in got}
+    assert found == {**dict.fromkeys(range(5), 0), **dict.fromkeys(range(5, 9), 5), 9: 9, None: 9, 10: 10, 20: 20, 21: 20, 30: 30, 31: 31, 32: 32}
+
+
+def test_classes_of_every_exact_window(docs):
+    """Texts over few phrases, in part with changed words: holders of a window of PASSAGE words are in one class."""
+    r = random.Random(12)
+    new = iter("e%dq" % i for i in range(10**6))
+    rows = []
+    for k in range(12):
+        phrase = [["k%dp%d" % (k, r.randint(0, 60)) for _ in range(r.randint(6, 30))] for _ in range(6)]
+        for _ in range(6):
+            w = [x for _ in range(r.randint(2, 12)) for x in r.choice(phrase)]
+            rows.append((len(rows), " ".join(next(new) if r.random() < 0.02 else x for x in w)))
+    holders = {}
+    for d, t in rows:
+        w = words(t)
+        for i in range(len(w) - passages.PASSAGE + 1):
+            holders.setdefault(tuple(w[i : i + passages.PASSAGE]), set()).add(d)
+    found = {x.doc_id: x.class_id for x in passages.repeated_passages(docs(rows)).collect()}
+    several = [h for h in holders.values() if len(h) > 1]
+    assert len(several) > 30 and all(len({found[d] for d in h}) == 1 for h in several)
+    assert all(found[d] // 6 == d // 6 and found[d] <= d for d in found)
