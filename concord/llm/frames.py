@@ -32,6 +32,23 @@ def written(df: DataFrame) -> DataFrame:
     return checkpointed(df)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    """As written, and the files of the shuffles on the way go with the end of the write.
+
+    They would else stay on the disks until the driver happens to collect garbage. Only the write reads them.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return checkpointed(df)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def small_or_shuffled(df: DataFrame, lists: str | None = None) -> DataFrame:
     """A hint to broadcast a written table if it is counted to be small; else the frame as it is.
 

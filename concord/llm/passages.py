@@ -2,7 +2,8 @@
 
 Every run of SEED words is a seed; a copy without SEED unchanged words in a row is not found. Seeds are
 joined by their hashes in parts of about PART seeds, as many as the texts need, and travel as packed
-numbers. Each occurrence of a seed that several texts hold is matched with one occurrence only, the
+numbers, a range of hashes in each of up to ROUNDS rounds: the files of a round's shuffle go before the
+next one, so that a part of the seeds lies on the disks at a time. Each occurrence of a seed that several texts hold is matched with one occurrence only, the
 first in the text with the smallest number among them; a passage in n texts gives n matches a seed,
 never pairs. That text may hold the seeds of a passage scattered, which hides the texts that hold it
 whole: so a window of PASSAGE words whose seeds are all shared, but not matched with one stretch of
@@ -25,6 +26,7 @@ the same result. An empty table gives an empty result. Other columns than id and
 
 from __future__ import annotations
 
+import functools
 from collections import defaultdict, deque
 from collections.abc import Iterator
 
@@ -36,7 +38,7 @@ from pyspark.sql import types as T
 
 from concord.llm import words as W
 from concord.llm.components import stars
-from concord.llm.frames import fields, picked, small_or_shuffled, table, written
+from concord.llm.frames import fields, picked, small_or_shuffled, table, written_once
 
 SEED = 6
 #: Words between matches of one run, and between runs of one chain.
@@ -53,6 +55,8 @@ MARGIN = 16
 #: Seeds a task gathers before it passes them on, and seeds of a part of the join on average.
 GATHERED = 1 << 20
 PART = 1 << 20
+#: Rounds in which the parts are joined; each reads the texts once more.
+ROUNDS = 3
 #: Of a seed that a task has gathered more often, two occurrences go to its part; the others wait for its answer.
 OFTEN = 16
 #: Seeds in a window of PASSAGE words.
@@ -61,10 +65,13 @@ WINDOW = PASSAGE - SEED + 1
 LOW = 5
 #: Words of a text whose spans are fetched together.
 STRETCH = 4096
+#: Bytes of a chain's parts if it has one.
+ONE_PART = 16
 
 
-def _seeds(batch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """By block of the texts of (text, skipped): hashes of the texts, text number, place and hash of every seed."""
+def _seeds(batch, least: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By block of the texts of (text, skipped): hashes of the texts, text number, place and hash of every seed whose hash
+    is from least to most."""
     skipped = batch["skipped"].to_pylist()
     for i, j, data, offsets in W.blocks(batch["text"]):
         found = W.split(data, offsets)
@@ -73,7 +80,8 @@ def _seeds(batch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
         grams = W.grams(hashes, SEED)
         owner = np.repeat(np.arange(j - i), found.counts)[: len(grams)]
         left = np.array([s is None or n not in s for n, s in zip(nodes.tolist(), skipped[i:j])], bool)
-        at = np.flatnonzero((np.arange(len(grams)) + SEED <= found.first[1:][owner]) & left[owner])
+        inside = (np.arange(len(grams)) + SEED <= found.first[1:][owner]) & left[owner]
+        at = np.flatnonzero(inside & (grams >= np.uint64(least)) & (grams <= np.uint64(most)))
         yield nodes, owner[at], at - found.first[owner[at]], grams[at]
 
 
@@ -137,13 +145,16 @@ def _unpacked(parts: list[int], seeds: list[bytes], nodes: list[bytes], places:
     return [W.concat(c, k) for c, k in zip(out, (np.uint64, np.int64, np.int32))]
 
 
-def packed_seeds(docs: DataFrame, parts: int) -> DataFrame:
-    """The seeds of (text, skipped) as packed arrays by part of their hashes; those that wait go to any part.
+def packed_seeds(docs: DataFrame, parts: int, first: int, last: int) -> DataFrame:
+    """The seeds of (text, skipped) in the parts from first to last - 1, of so many, as packed arrays by part of their
+    hashes; those that wait go to any part.
 
     A seed is its part and the low LOW bytes of its hash: in a part of a million seeds one in a million falls together
     with another one, whatever the number of parts. Words are compared later on.
     """
-    shift = np.uint64(64 - (parts.bit_length() - 1)) if parts > 1 else None
+    bits = 64 - (parts.bit_length() - 1)
+    shift = np.uint64(bits) if parts > 1 else None
+    least, most = first << bits, (last << bits) - 1
 
     def passed_on(held):
         seeds, nodes, places = (np.concatenate(c) for c in zip(*held))
@@ -167,7 +178,7 @@ def packed_seeds(docs: DataFrame, parts: int) -> DataFrame:
     def run(batches):
         held, size = [], 0
         for b in batches:
-            for nodes, owner, places, seeds in _seeds(b):
+            for nodes, owner, places, seeds in _seeds(b, least, most):
                 if len(seeds):
                     held.append((seeds, nodes[owner], places.astype(np.int32)))
                     size += len(seeds)
@@ -227,7 +238,10 @@ def shared_seeds(docs: DataFrame, n_words: int) -> DataFrame:
     """(seed, node, place, other, at): every occurrence of the seeds of (text, skipped) that several texts hold, with the
     occurrence it is matched with; that one is there as well, matched with itself."""
     parts = 1 << max(0, (n_words - 1) // PART).bit_length()
-    joined = written(packed_seeds(docs, parts).groupBy("to").applyInArrow(_joined, _SHARED))
+    rounds = min(ROUNDS, parts)
+    cuts = [parts * i // rounds for i in range(rounds + 1)]
+    rounds = [written_once(packed_seeds(docs, parts, a, z).groupBy("to").applyInArrow(_joined, _SHARED)) for a, z in zip(cuts, cuts[1:])]
+    joined = functools.reduce(DataFrame.unionByName, rounds)
     answers = joined.where("node IS NULL").select("seed", "other", "at")
     late = joined.where("other IS NULL").select("seed", "node", "place").join(small_or_shuffled(answers), "seed")
     return joined.where("node IS NOT NULL AND other IS NOT NULL").unionByName(late.select(joined.columns))
@@ -436,20 +450,25 @@ def _chain_batch(rows, *more):
 
 
 def _slices(batches):
-    """The word hashes of wanted spans of a text, with MARGIN words on either side, and how many are before."""
+    """The word hashes of wanted spans of a text, with MARGIN words on either side, and how many are before.
+
+    Of an exact span, which is the same words on both sides, only those on either side.
+    """
     for b in batches:
         wanted = b["wanted"].to_pylist()
-        for i, j, data, offsets in W.blocks(b["text"]):
+        for first, last, data, offsets in W.blocks(b["text"]):
             found = W.split(data, offsets)
             hashes = found.hashes()
             nodes = W.sequence_hashes(hashes, found.first).view(np.int64).tolist()
             rows = []
-            for k in range(i, j):
-                low, high = int(found.first[k - i]), int(found.first[k - i + 1])
+            for k in range(first, last):
+                low, high = int(found.first[k - first]), int(found.first[k - first + 1])
                 for w in wanted[k]:
-                    if w["node"] == nodes[k - i]:
+                    if w["node"] == nodes[k - first]:
                         a, z = max(low, low + w["start"] - MARGIN), min(high, low + w["stop"] + MARGIN)
-                        rows.append((w["node"], w["start"], w["stop"], low + w["start"] - a, hashes[a:z].tobytes()))
+                        i, j = low + w["start"], low + w["stop"]
+                        words = hashes[a:i].tobytes() + hashes[j:z].tobytes() if w["exact"] else hashes[a:z].tobytes()
+                        rows.append((w["node"], w["start"], w["stop"], w["exact"], i - a, words))
                     if len(rows) >= 10_000:
                         yield _slice_batch(rows)
                         rows = []
@@ -458,9 +477,9 @@ def _slices(batches):
 
 
 def _slice_batch(rows):
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[n] for r in rows], kind) for n, kind in enumerate(kinds)], names=["node", "start", "stop", "ahead", "words"]
+        [pa.array([r[n] for r in rows], kind) for n, kind in enumerate(kinds)], names=["node", "start", "stop", "exact", "ahead", "words"]
     )
 
 
@@ -526,10 +545,15 @@ def similar_parts(x: np.ndarray, y: np.ndarray, parts: np.ndarray) -> list[tuple
 def _aligned(batches):
     """Chains, or their parts with enough identity, extended over their ends."""
     for b in batches:
-        names = ("node", "start", "other", "low", "stop", "high", "parts", "ahead", "words", "other_ahead", "other_words")
+        names = ("node", "start", "other", "low", "stop", "high", "exact", "parts", "ahead", "words", "other_ahead", "other_words")
         rows = []
-        for node, start, other, low, stop, high, parts, ahead, ours, other_ahead, theirs in zip(*(b[c].to_pylist() for c in names)):
+        for node, start, other, low, stop, high, exact, parts, ahead, ours, other_ahead, theirs in zip(*(b[c].to_pylist() for c in names)):
             x, y = np.frombuffer(ours, np.uint64), np.frombuffer(theirs, np.uint64)
+            if exact:
+                left, right = _common(x[:ahead][::-1], y[:other_ahead][::-1]), _common(x[ahead:], y[other_ahead:])
+                if stop - start + left + right >= CHAIN:
+                    rows.append((node, start - left, stop + right, other, low - left, high + right))
+                continue
             inner, outer = x[ahead : ahead + stop - start], y[other_ahead : other_ahead + high - low]
             for a, z, c, e in similar_parts(inner, outer, np.frombuffer(parts, np.int32).reshape(-1, 4)):
                 i, j = ahead + a, other_ahead + c
@@ -591,42 +615,45 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     words or more; its own id for a document without links). Any two different texts with a window of 50 words in common
     are in one class, whichever occurrences were matched."""
     docs = picked(docs, doc_id=id_column, text=text_column)
-    texts = written(texts_of(docs))
-    classes = written(texts.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("n > 1"))
+    texts = written_once(texts_of(docs))
+    classes = written_once(texts.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("n > 1"))
     copies = texts.join(small_or_shuffled(classes), "node").where(~F.col("doc_id").eqNullSafe(F.col("rep")))
-    skip = written(copies.groupBy("doc_id").agg(F.collect_set("node").alias("skipped")).withColumnRenamed("doc_id", "skip_id"))
+    skip = written_once(copies.groupBy("doc_id").agg(F.collect_set("node").alias("skipped")).withColumnRenamed("doc_id", "skip_id"))
     skip = small_or_shuffled(skip, "skipped")
     ours = docs.join(skip, docs["doc_id"].eqNullSafe(skip["skip_id"]), "left").select("doc_id", "text", "skipped")
 
     shared = shared_seeds(ours, texts.agg(F.sum("n_words")).first()[0] or 0)
-    matched = written(shared.repartition("node").sortWithinPartitions("node", "place").mapInArrow(_chained, _CHAIN + ", parts binary"))
+    matched = written_once(shared.repartition("node").sortWithinPartitions("node", "place").mapInArrow(_chained, _CHAIN + ", parts binary"))
     windows = matched.where("low IS NULL").select(F.col("other").alias("seed"), "node", F.col("start").alias("place"))
     first = windows.groupBy("seed").agg(F.min(F.struct("node", "place")).alias("first"), F.max("node").alias("last"))
-    first = written(first.where("first.node < last").select("seed", F.col("first.node").alias("other"), F.col("first.place").alias("at")))
+    first = written_once(first.where("first.node < last").select("seed", F.col("first.node").alias("other"), F.col("first.place").alias("at")))
     matches = windows.join(small_or_shuffled(first), "seed").where("node <> other").select("node", "other", "place", "at")
     long = matches.repartition("node").sortWithinPartitions("node", "other", "place").mapInArrow(_chained_windows, _CHAIN + ", parts binary")
-    found = written(matched.where("low IS NOT NULL").unionByName(long))
+    found = written_once(matched.where("low IS NOT NULL").unionByName(long))
+    # A chain of one exact part is a copy already; its words are needed around it only.
+    found = found.withColumn("exact", F.length("parts") == ONE_PART)
 
-    spans = found.select("node", "start", "stop").unionByName(
-        found.select(F.col("other").alias("node"), F.col("low").alias("start"), F.col("high").alias("stop"))
+    spans = found.select("node", "start", "stop", "exact").unionByName(
+        found.select(F.col("other").alias("node"), F.col("low").alias("start"), F.col("high").alias("stop"), "exact")
     ).distinct()
-    holders = written(
+    holders = written_once(
         texts.join(classes.select("node", "rep"), "node", "left").where("node IS NOT NULL")
         .select("node", F.coalesce("rep", "doc_id").alias("holder")).distinct()
     )
     stretch = F.expr(f"start div {STRETCH}").alias("stretch")
-    wanted = spans.join(holders, "node").groupBy("holder", stretch).agg(F.collect_set(F.struct("node", "start", "stop")).alias("wanted"))
-    wanted = small_or_shuffled(written(wanted), "wanted")
-    words = written(
+    wanted = spans.join(holders, "node").groupBy("holder", stretch).agg(F.collect_set(F.struct("node", "start", "stop", "exact")).alias("wanted"))
+    wanted = small_or_shuffled(written_once(wanted), "wanted")
+    words = written_once(
         docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["holder"])).select("text", "wanted")
-        .mapInArrow(_slices, "node long, start int, stop int, ahead int, words binary").dropDuplicates(["node", "start", "stop"])
+        .mapInArrow(_slices, "node long, start int, stop int, exact boolean, ahead int, words binary")
+        .dropDuplicates(["node", "start", "stop", "exact"])
     )
     theirs = words.select(
-        F.col("node").alias("other"), F.col("start").alias("low"), F.col("stop").alias("high"),
+        F.col("node").alias("other"), F.col("start").alias("low"), F.col("stop").alias("high"), "exact",
         F.col("ahead").alias("other_ahead"), F.col("words").alias("other_words"),
     )
-    fuzzy = written(
-        found.join(words, ["node", "start", "stop"]).join(theirs, ["other", "low", "high"]).mapInArrow(_aligned, _CHAIN)
+    fuzzy = written_once(
+        found.join(words, ["node", "start", "stop", "exact"]).join(theirs, ["other", "low", "high", "exact"]).mapInArrow(_aligned, _CHAIN)
     )
 
     kept = fuzzy.select(
@@ -635,7 +662,7 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     )
     parts = fuzzy.select("node", "start", "stop", F.lit(True).alias("copy"), "other").unionByName(kept)
     parts = parts.groupBy("node", "start", "stop", "copy").agg(F.min("other").alias("other"))
-    of_node = written(
+    of_node = written_once(
         parts.repartition("node").sortWithinPartitions("node", "start", "stop").mapInArrow(
             _passages, "node long, passages array<struct<start:int,stop:int>>, copied long, others array<long>"
         )
@@ -649,11 +676,11 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     matches = fuzzy.join(of_node.select("node", "passages"), "node").where(within).select(F.col("node").alias("a"), F.col("other").alias("b"))
     linked_to = stars(of_node.select(F.col("node").alias("a"), F.explode("others").alias("b")).unionByName(matches))
     members = linked_to.unionByName(linked_to.select(F.col("b").alias("a"), "b").distinct())
-    members = written(members.join(holders, F.col("a") == F.col("node")).select("node", "b", "holder"))
+    members = written_once(members.join(holders, F.col("a") == F.col("node")).select("node", "b", "holder"))
     least = members.groupBy("b").agg(F.min("holder").alias("class_id"))
     classed = members.select("node", "b").distinct().join(least, "b").select("node", "class_id")
     known = of_node.drop("others").join(shared_with, "node", "left").join(classes, "node", "full")
-    known = written(known.join(classed, "node", "full"))
+    known = written_once(known.join(classed, "node", "full"))
     all_of_it = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("stop")))
     none = F.array().cast("array<struct<start:int,stop:int>>")
     copy = F.coalesce(F.col("n") > 1, F.lit(False)) & (F.col("n_words") >= PASSAGE)

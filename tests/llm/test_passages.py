@@ -1,6 +1,8 @@
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -269,3 +271,54 @@ def test_classes_of_every_exact_window(docs):
     several = [h for h in holders.values() if len(h) > 1]
     assert len(several) > 30 and all(len({found[d] for d in h}) == 1 for h in several)
     assert all(found[d] // 6 == d // 6 and found[d] <= d for d in found)
+
+
+def test_rounds_of_the_seed_join(docs, monkeypatch):
+    """Seeds are shuffled in rounds of about the same size, whose shuffle files are gone when the next one begins."""
+    spark = docs([]).sparkSession
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    packed, sent, left = passages.packed_seeds, [], []
+
+    def files():
+        found = held.getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    def watched(ours, parts, first, last):
+        for _ in range(50):
+            if not (rest := files() - known):
+                break
+            time.sleep(0.1)
+        left.append(rest)
+        out = packed(ours, parts, first, last)
+        sent.append(sum(len(r.seeds) for r in out.collect()))
+        return out
+
+    known = files()
+    monkeypatch.setattr(passages, "packed_seeds", watched)
+    new = iter("r%dq" % i for i in range(10**6))
+    rows = [(d, " ".join(next(new) for _ in range(200))) for d in range(40)]
+    passages.shared_seeds(docs(rows).select("text", F.lit(None).cast("array<long>").alias("skipped")), 40 * passages.PART)
+    whole = 40 * (200 - passages.SEED + 1) * passages.LOW
+    assert sum(sent) == whole and max(sent) < 0.5 * whole and len(sent) == passages.ROUNDS
+    assert not any(left)
+
+
+def test_words_around_exact_chains():
+    """Only the words around a chain of one exact part are sent, and the chain reaches as far as with all of them."""
+    r = random.Random(8)
+    for _ in range(200):
+        n = r.randint(12, 300)
+        same = [r.randint(10**6, 10**9) for _ in range(n)]
+        sides = [([r.randint(0, 1) for _ in range(r.randint(0, passages.MARGIN))], [r.randint(0, 1) for _ in range(r.randint(0, passages.MARGIN))]) for _ in range(2)]
+        got = []
+        for exact in (False, True):
+            row = {"node": 1, "start": 20, "stop": 20 + n, "other": 2, "low": 50, "high": 50 + n, "exact": exact, "parts": np.array([0, n, 0, n], np.int32).tobytes()}
+            for name, (before, after) in zip(("", "other_"), sides):
+                row |= {name + "ahead": len(before), name + "words": np.array([*before, *([] if exact else same), *after], np.uint64).tobytes()}
+            got.append([b.to_pylist() for b in passages._aligned([pa.RecordBatch.from_pylist([row])])])
+        assert got[0] == got[1] and got[0]
+    text = " ".join("w%d" % i for i in range(500))
+    node = next(passages._seeds({"text": pa.array([text]), "skipped": pa.array([None], pa.list_(pa.int64()))}, 0, (1 << 64) - 1))[0][0]
+    wanted = [{"node": int(node), "start": 30, "stop": 430, "exact": exact} for exact in (False, True)]
+    out = [row for b in passages._slices([pa.RecordBatch.from_pylist([{"text": text, "wanted": wanted}])]) for row in b.to_pylist()]
+    assert [(x["exact"], x["ahead"], len(x["words"]) // 8) for x in out] == [(False, 16, 432), (True, 16, 32)]
