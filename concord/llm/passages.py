@@ -440,19 +440,21 @@ def _chained_windows(batches):
 
 
 _CHAIN = "node long, start int, stop int, other long, low int, high int"
+_CHAIN_NAMES = ["node", "start", "stop", "other", "low", "high"]
 
 
 def _chain_batch(rows, *more):
     kinds = [*[pa.int64(), pa.int32(), pa.int32()] * 2, *[pa.binary()] * len(more)]
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["node", "start", "stop", "other", "low", "high", *more]
+        [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=[*_CHAIN_NAMES, *more]
     )
 
 
 def _slices(batches):
-    """The word hashes of wanted spans of a text, with MARGIN words on either side, and how many are before.
+    """The wanted chains of a text, and its spans in the chains of others (without other, low, high and parts), with their
+    word hashes, those of MARGIN words on either side, and how many are before.
 
-    Of an exact span, which is the same words on both sides, only those on either side.
+    Of an exact chain, which has the same words on both sides, only the words around it.
     """
     for b in batches:
         wanted = b["wanted"].to_pylist()
@@ -468,7 +470,7 @@ def _slices(batches):
                         a, z = max(low, low + w["start"] - MARGIN), min(high, low + w["stop"] + MARGIN)
                         i, j = low + w["start"], low + w["stop"]
                         words = hashes[a:i].tobytes() + hashes[j:z].tobytes() if w["exact"] else hashes[a:z].tobytes()
-                        rows.append((w["node"], w["start"], w["stop"], w["exact"], i - a, words))
+                        rows.append((*(w[c] for c in _CHAIN_NAMES), w["parts"], w["exact"], i - a, words))
                     if len(rows) >= 10_000:
                         yield _slice_batch(rows)
                         rows = []
@@ -476,10 +478,13 @@ def _slices(batches):
                 yield _slice_batch(rows)
 
 
+_SLICE = _CHAIN + ", parts binary, exact boolean, ahead int, words binary"
+
+
 def _slice_batch(rows):
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.binary()]
+    kinds = [*[pa.int64(), pa.int32(), pa.int32()] * 2, pa.binary(), pa.bool_(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[n] for r in rows], kind) for n, kind in enumerate(kinds)], names=["node", "start", "stop", "exact", "ahead", "words"]
+        [pa.array([r[n] for r in rows], kind) for n, kind in enumerate(kinds)], names=[*_CHAIN_NAMES, "parts", "exact", "ahead", "words"]
     )
 
 
@@ -633,28 +638,23 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     # A chain of one exact part is a copy already; its words are needed around it only.
     found = found.withColumn("exact", F.length("parts") == ONE_PART)
 
-    spans = found.select("node", "start", "stop", "exact").unionByName(
-        found.select(F.col("other").alias("node"), F.col("low").alias("start"), F.col("high").alias("stop"), "exact")
-    ).distinct()
+    spans = found.select(F.col("other").alias("node"), F.col("low").alias("start"), F.col("high").alias("stop"), "exact").distinct()
+    spans = found.unionByName(spans, allowMissingColumns=True)
     holders = written_once(
         texts.join(classes.select("node", "rep"), "node", "left").where("node IS NOT NULL")
         .select("node", F.coalesce("rep", "doc_id").alias("holder")).distinct()
     )
     stretch = F.expr(f"start div {STRETCH}").alias("stretch")
-    wanted = spans.join(holders, "node").groupBy("holder", stretch).agg(F.collect_set(F.struct("node", "start", "stop", "exact")).alias("wanted"))
+    wanted = spans.join(holders, "node").groupBy("holder", stretch).agg(F.collect_list(F.struct(*spans.columns)).alias("wanted"))
     wanted = small_or_shuffled(written_once(wanted), "wanted")
-    words = written_once(
-        docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["holder"])).select("text", "wanted")
-        .mapInArrow(_slices, "node long, start int, stop int, exact boolean, ahead int, words binary")
-        .dropDuplicates(["node", "start", "stop", "exact"])
-    )
-    theirs = words.select(
+    words = written_once(docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["holder"])).select("text", "wanted").mapInArrow(_slices, _SLICE))
+    theirs = words.where("other IS NULL").select(
         F.col("node").alias("other"), F.col("start").alias("low"), F.col("stop").alias("high"), "exact",
         F.col("ahead").alias("other_ahead"), F.col("words").alias("other_words"),
     )
-    fuzzy = written_once(
-        found.join(words, ["node", "start", "stop", "exact"]).join(theirs, ["other", "low", "high", "exact"]).mapInArrow(_aligned, _CHAIN)
-    )
+    theirs = written_once(theirs.dropDuplicates(["other", "low", "high", "exact"]))
+    ours = words.where("other IS NOT NULL")
+    fuzzy = written_once(ours.join(theirs, ["other", "low", "high", "exact"]).mapInArrow(_aligned, _CHAIN))
 
     kept = fuzzy.select(
         F.col("other").alias("node"), F.col("low").alias("start"), F.col("high").alias("stop"), F.lit(False).alias("copy"),

@@ -319,6 +319,7 @@ def test_words_around_exact_chains():
         assert got[0] == got[1] and got[0]
     text = " ".join("w%d" % i for i in range(500))
     node = next(passages._seeds({"text": pa.array([text]), "skipped": pa.array([None], pa.list_(pa.int64()))}, 0, (1 << 64) - 1))[0][0]
-    wanted = [{"node": int(node), "start": 30, "stop": 430, "exact": exact} for exact in (False, True)]
+    chain = {"node": int(node), "start": 30, "stop": 430, "other": 5, "low": 0, "high": 400, "parts": b""}
+    wanted = [chain | {"exact": exact} for exact in (False, True)]
     out = [row for b in passages._slices([pa.RecordBatch.from_pylist([{"text": text, "wanted": wanted}])]) for row in b.to_pylist()]
     assert [(x["exact"], x["ahead"], len(x["words"]) // 8) for x in out] == [(False, 16, 432), (True, 16, 32)]
