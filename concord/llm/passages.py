@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 from concord.llm import words as W
 from concord.llm.components import stars
 from concord.llm.frames import fields, picked, small_or_shuffled, table, written_once
+from concord.session import drop_folders, written_folders
 
 SEED = 6
 #: Words between matches of one run, and between runs of one chain.
@@ -627,8 +628,11 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     skip = small_or_shuffled(skip, "skipped")
     ours = docs.join(skip, docs["doc_id"].eqNullSafe(skip["skip_id"]), "left").select("doc_id", "text", "skipped")
 
+    before = written_folders(docs.sparkSession)
     shared = shared_seeds(ours, texts.agg(F.sum("n_words")).first()[0] or 0)
+    seeds = [folder for folder in written_folders(docs.sparkSession) if folder not in before]
     matched = written_once(shared.repartition("node").sortWithinPartitions("node", "place").mapInArrow(_chained, _CHAIN + ", parts binary"))
+    drop_folders(docs.sparkSession, seeds)  # only the matching reads them
     windows = matched.where("low IS NULL").select(F.col("other").alias("seed"), "node", F.col("start").alias("place"))
     first = windows.groupBy("seed").agg(F.min(F.struct("node", "place")).alias("first"), F.max("node").alias("last"))
     first = written_once(first.where("first.node < last").select("seed", F.col("first.node").alias("other"), F.col("first.place").alias("at")))

@@ -56,11 +56,21 @@ def drop_written(spark: SparkSession) -> int:
 
     For whoever owns the session, once the results that read them are stored or shown.
     """
-    folders = _folders.pop(spark.sparkContext.applicationId, [])
+    return drop_folders(spark, written_folders(spark))
+
+
+def written_folders(spark: SparkSession) -> list[str]:
+    """The folders of the tables this session's jobs have written so far and not removed."""
+    return list(_folders[spark.sparkContext.applicationId])
+
+
+def drop_folders(spark: SparkSession, folders: list[str]) -> int:
+    """Remove written tables by their folders, once nothing reads them any more; tells how many."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for folder in folders:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
+        _folders[spark.sparkContext.applicationId].remove(folder)
     return len(folders)
 
 
