@@ -323,3 +323,21 @@ def test_words_around_exact_chains():
     wanted = [chain | {"exact": exact} for exact in (False, True)]
     out = [row for b in passages._slices([pa.RecordBatch.from_pylist([{"text": text, "wanted": wanted}])]) for row in b.to_pylist()]
     assert [(x["exact"], x["ahead"], len(x["words"]) // 8) for x in out] == [(False, 16, 432), (True, 16, 32)]
+
+
+def test_seed_tables_are_removed(docs, rows, monkeypatch):
+    from concord import session
+
+    spark, tables = docs([]).sparkSession, []
+    plain = passages.shared_seeds
+
+    def watched(*given):
+        before = session.written_folders(spark)
+        out = plain(*given)
+        tables.extend(f for f in session.written_folders(spark) if f not in before)
+        return out
+
+    monkeypatch.setattr(passages, "shared_seeds", watched)
+    found = passages.repeated_passages(docs(rows[0]))
+    assert tables and not set(tables) & set(session.written_folders(spark))
+    assert found.where("n_repeated > 0").count()
